@@ -35,11 +35,21 @@ def simhash(text: bytes, shingle: int, seed: int) -> int:
     digest, total, m = xxhash.xxh64_intdigest, np.zeros(BITS, np.int64), n - shingle + 1
     stops = (ends[shingle - 1 :] - 1).tolist()
     for lo in range(0, m, 1 << 16):
-        h = np.array([digest(joined[a:b], seed) for a, b in zip(starts[lo : lo + (1 << 16)], stops[lo : lo + (1 << 16)])], np.uint64)
-        total += np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        h = [digest(joined[a:b], seed) for a, b in zip(starts[lo : lo + (1 << 16)], stops[lo : lo + (1 << 16)])]
+        total += bit_totals(np.array(h, np.uint64))
     return int(np.packbits(2 * total > m).view(">u8")[0])
 
 
+def bit_totals(h: np.ndarray) -> np.ndarray:
+    """How many of the 64-bit values have each bit set, highest bit first. Eight byte-wide counters are added at a time,
+    over runs of 255 values so that none overflows."""
+    runs = -(-len(h) // 255)
+    padded = np.zeros(runs * 255, ">u8")
+    padded[: len(h)] = h
+    lanes = np.unpackbits(padded.view(np.uint8)).view(np.uint64).reshape(runs, 255, 8)
+    return lanes.sum(axis=1).view(np.uint8).reshape(runs, BITS).sum(axis=0, dtype=np.int64)
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seeds: tuple[int, ...] = (42,)) -> DataFrame:
     """(id, fp0, fp1, ...): one signed 64-bit fingerprint for each seed. Null and empty texts get 0; other columns of
     ``docs`` are left out, so their names can't clash."""
