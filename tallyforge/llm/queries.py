@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import decontaminate, lines, mixing, simhash
 from .shared import read_table
 
 
@@ -14,8 +14,35 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), simhash.hex_fingerprint("fp").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return lines.drop_boilerplate(docs).select("doc_id", "n_lines", "n_dropped", "text")
+
+
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_matches(docs, read_table(spark, sf_dir, "benchmark"))
+    items = decontaminate.item_list(F.col("matches"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        decontaminate.words_hit(F.col("matches")).alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        (F.size("matches") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op4_line_dedup": op4_line_dedup,
+    "op5_mix_sources": op5_mix_sources,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_line_dedup": lines.SQL, "op5_mix_sources": mixing.SQL}
