@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lines, mixing, simhash
-from .shared import read_table
+from . import decontaminate, lines, mixing, quality, simhash, toxicity
+from .shared import held_out, read_table
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,15 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), simhash.hex_fingerprint("fp").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return _decided(scores, toxicity.FOLDS, 0.5)
+
+
+def _decided(scores: DataFrame, folds: int, threshold: float) -> DataFrame:
+    return scores.select(F.col("id").alias("doc_id"), held_out("id", folds).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return lines.drop_boilerplate(docs).select("doc_id", "n_lines", "n_dropped", "text")
@@ -24,6 +33,11 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return _decided(scores, quality.FOLDS, quality.THRESHOLD)
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_matches(docs, read_table(spark, sf_dir, "benchmark"))
@@ -40,8 +54,10 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_toxicity": op2_toxicity,
     "op4_line_dedup": op4_line_dedup,
     "op5_mix_sources": op5_mix_sources,
+    "op7_quality": op7_quality,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
