@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lines, mixing, quality, simhash, toxicity
+from . import decontaminate, embeddings, lines, mixing, quality, simhash, toxicity
 from .shared import held_out, read_table
 
 
@@ -38,6 +38,11 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decided(scores, quality.FOLDS, quality.THRESHOLD)
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = embeddings.near_vectors(read_table(spark, sf_dir, "embeddings"))
+    return out.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_matches(docs, read_table(spark, sf_dir, "benchmark"))
@@ -58,6 +63,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_mix_sources": op5_mix_sources,
     "op7_quality": op7_quality,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
