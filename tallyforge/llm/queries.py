@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embeddings, lines, mixing, quality, simhash, toxicity
+from . import decontaminate, embeddings, lines, lm, mixing, quality, simhash, toxicity
 from .shared import held_out, read_table
 
 
@@ -33,6 +33,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return _decided(scores, quality.FOLDS, quality.THRESHOLD)
@@ -62,6 +66,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op4_line_dedup": op4_line_dedup,
     "op5_mix_sources": op5_mix_sources,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_quality": op7_quality,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
