@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embeddings, lines, lm, mixing, quality, simhash, toxicity
+from . import decontaminate, embeddings, licenses, lines, lm, mixing, quality, secrets, simhash, toxicity
 from .shared import held_out, read_table
 
 
@@ -23,6 +23,11 @@ def _decided(scores: DataFrame, folds: int, threshold: float) -> DataFrame:
     return scores.select(F.col("id").alias("doc_id"), held_out("id", folds).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", licenses.document_path().alias("path"))
+    return licenses.scan_licences(docs, "path").select("doc_id", "path", "licence", "licence_score", "licence_from")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return lines.drop_boilerplate(docs).select("doc_id", "n_lines", "n_dropped", "text")
@@ -42,6 +47,20 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decided(scores, quality.FOLDS, quality.THRESHOLD)
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    findings, _ = secrets.scan(docs)
+    out = secrets.findings_by_row(docs, findings)
+    of = lambda kind: F.coalesce(F.size(F.filter("spans", lambda s: s["kind"] == kind)), F.lit(0)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE))
+    return out.select(
+        F.col("id").alias("doc_id"),
+        *[F.when(F.col("spans").isNull(), F.lit(0)).otherwise(of(k)).cast("long").alias(f"n_{k}") for k in secrets.BASE],
+        F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = embeddings.near_vectors(read_table(spark, sf_dir, "embeddings"))
     return out.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
@@ -64,12 +83,19 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_toxicity": op2_toxicity,
+    "op3_license_scan": op3_license_scan,
     "op4_line_dedup": op4_line_dedup,
     "op5_mix_sources": op5_mix_sources,
     "op6_lm_scoring": op6_lm_scoring,
     "op7_quality": op7_quality,
+    "op8_secret_scan": op8_secret_scan,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_line_dedup": lines.SQL, "op5_mix_sources": mixing.SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op3_license_scan": licenses.SQL,
+    "op4_line_dedup": lines.SQL,
+    "op5_mix_sources": mixing.SQL,
+    "op8_secret_scan": secrets.SQL,
+}
