@@ -90,3 +90,13 @@ def whole_groups(batches, keys: list[str]):
         rest = table.slice(last)
     if rest is not None and rest.num_rows:
         yield rest
+
+
+#: Rows of a few numbers each up to which a table is sent to every task; beyond, both sides are shuffled.
+BROADCAST_ROWS = 200_000
+
+
+def for_join(df: DataFrame, label: str, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A narrow table, written out, counted, and marked for broadcast only if it has at most ``most`` rows."""
+    table = staged(df, label)
+    return F.broadcast(table) if table.count() <= most else table
