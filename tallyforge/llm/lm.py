@@ -7,7 +7,9 @@ reach (states are n-gram contexts, failure arcs lead to the next shorter one) an
 
 from __future__ import annotations
 
-from math import log10
+from array import array
+from collections import defaultdict
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +26,7 @@ ALPHA = 0.1
 ORDER = 2
 #: Weight of the shorter context, in tokens: P(w|h) = (c(hw) + PRIOR * P(w|h')) / (c(h) + PRIOR).
 PRIOR = 1000.0
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 4 << 20
 #: N-grams asked for in one shard, at most about so many.
 SHARD_GRAMS = 4_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -49,37 +51,49 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Grams:
-    """The tokens of a chunk and, for each order, its distinct n-grams in hash order."""
+    """The tokens of a chunk and, for each order, its distinct n-grams in hash order.
+
+    keys: their hashes; own: how often the chunk trains on each; at: for every token the n-gram that ends there (-1: none,
+    an n-gram begins with the start of its text at most once); sample: for each n-gram a token where it ends.
+    """
 
     def __init__(self, texts: list[bytes], train: np.ndarray, order: int):
-        local: dict[bytes, int] = {}
-        docs = [[local.setdefault(w, len(local)) for w in lower_words(t)] for t in texts]
-        end = len(local)
-        self.words, self.end = local, end
-        lengths = np.array([len(d) + 1 for d in docs], np.int64)
+        local: defaultdict[bytes, int] = defaultdict(count().__next__)
+        docs = [[*map(local.__getitem__, lower_words(t)), -1] for t in texts]
+        self.end = len(local)
+        lengths = np.array([len(d) for d in docs], np.int64)
         self.first = np.concatenate([[0], np.cumsum(lengths)])
-        self.ids = np.fromiter((w for d in docs for w in (*d, end)), np.int64, int(lengths.sum()))
-        hashes = np.array([xxhash.xxh64_intdigest(w) for w in local] + [_END], np.uint64)
-        token = _mixed(hashes)[self.ids]
-        place = np.arange(len(token)) - np.repeat(self.first[:-1], lengths)
+        self.ids = np.fromiter(chain.from_iterable(docs), np.int64, int(lengths.sum()))
+        del docs
+        self.ids[self.ids < 0] = self.end
+        hashes = _mixed(np.array([*map(xxhash.xxh64_intdigest, local), _END], np.uint64))
+        del local
+        place = np.arange(len(self.ids)) - np.repeat(self.first[:-1], lengths)
         trained = np.repeat(train, lengths)
-        self.keys, self.own, self.at, self.sample = [], [], [], []
-        gram = token.copy()
-        for k in range(1, order + 1):
-            if k > 1:  # an n-gram may begin with the start of its text
-                before = np.concatenate([[np.uint64(0)], gram[:-1]]) if len(gram) else gram
-                if k == 2:
-                    before = np.where(place == 0, _mixed(np.array([_START], np.uint64))[0], before)
-                gram = _mixed(before * _MIX + token)
-            valid = place >= k - 2
-            keys, sample, inverse = np.unique(gram[valid], return_index=True, return_inverse=True)
-            positions = np.flatnonzero(valid)
+        by_hash = np.argsort(hashes)
+        rank = np.empty(len(by_hash), np.int64)
+        rank[by_hash] = np.arange(len(by_hash))
+        self.keys, self.at = [hashes[by_hash]], [rank[self.ids]]
+        gram = token = hashes[self.ids]
+        for k in range(2, order + 1):
+            before = np.concatenate([[np.uint64(0)], gram[:-1]])[: len(gram)]
+            if k == 2:
+                before[place == 0] = _mixed(np.array([_START], np.uint64))[0]
+            gram = _mixed(before * _MIX + token)
+            positions = np.flatnonzero(place >= k - 2)
+            by_hash = np.argsort(gram[positions])
+            ordered = gram[positions][by_hash]
+            new = np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)]
             at = np.full(len(token), -1)
-            at[positions] = inverse
-            self.keys.append(keys)
-            self.own.append(np.bincount(inverse, weights=trained[positions], minlength=len(keys)).astype(np.uint32))
+            at[positions[by_hash]] = np.cumsum(new) - 1
+            self.keys.append(ordered[new])
             self.at.append(at)
-            self.sample.append(positions[sample])
+        self.own, self.sample = [], []
+        for keys, at in zip(self.keys, self.at):
+            self.own.append(np.bincount(at[trained & (at >= 0)], minlength=len(keys)).astype(np.uint32))
+            sample = np.zeros(len(keys), np.int64)
+            sample[at[at >= 0]] = np.flatnonzero(at >= 0)
+            self.sample.append(sample)
 
 
 def _bounds(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -88,36 +102,41 @@ def _bounds(keys: np.ndarray, shards: int) -> np.ndarray:
 
 
 def pack(docs: DataFrame, id_col: str, text_col: str, folds: int = FOLDS) -> DataFrame:
-    """(chunk, n_bytes, rows): documents in Arrow form with their fold, some ``CHUNK_BYTES`` of text to a chunk."""
+    """(chunk, n_tokens, rows): documents in Arrow form with their fold, some ``CHUNK_BYTES`` of text to a chunk, and the
+    number of tokens of those that train."""
     source = docs.select(F.col(id_col).alias("id"), held_out(id_col, folds).alias("held"), F.col(text_col).alias("text"))
 
     def run(batches):
         part, n = TaskContext.get().partitionId(), 0
-        held, size = [], 0
+        held, size, tokens = [], 0, 0
 
         def chunk():
             table = pa.Table.from_batches(held)
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
                 out.write_table(table)
-            return pa.RecordBatch.from_arrays([pa.array([(part << 24) + n]), pa.array([size]), pa.array([sink.getvalue().to_pybytes()])], ["chunk", "n_bytes", "rows"])
+            return pa.RecordBatch.from_arrays([pa.array([(part << 24) + n]), pa.array([tokens]), pa.array([sink.getvalue().to_pybytes()])], ["chunk", "n_tokens", "rows"])
 
         for batch in batches:
-            ends = np.cumsum([len(x) for x in text_bytes(batch.column(2))])
+            texts = text_bytes(batch.column(2))
+            ends = np.cumsum([len(x) for x in texts])
+            train = ~batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            counts = np.concatenate([[0], np.cumsum([(len(x.split()) + 1) * y for x, y in zip(texts, train.tolist())])])
             lo = 0
             while lo < batch.num_rows:
                 base = ends[lo - 1] if lo else 0
                 hi = max(lo + 1, int(np.searchsorted(ends, base + CHUNK_BYTES - size, "right")))
                 held.append(batch.slice(lo, hi - lo))
                 size += int(ends[hi - 1] - base)
+                tokens += int(counts[hi] - counts[lo])
                 lo = hi
                 if size >= CHUNK_BYTES or lo < batch.num_rows:
                     yield chunk()
-                    held, size, n = [], 0, n + 1
+                    held, size, tokens, n = [], 0, 0, n + 1
         if held:
             yield chunk()
 
-    return source.mapInArrow(run, "chunk long, n_bytes long, rows binary")
+    return source.mapInArrow(run, "chunk long, n_tokens long, rows binary")
 
 
 def _unpack(blob: bytes) -> tuple[pa.Array, np.ndarray, list[bytes]]:
@@ -168,7 +187,7 @@ class Automaton:
     """States are contexts seen in training; an arc reads a word, a failure arc drops a context's first word at a price."""
 
     def __init__(self, grams: Grams, counts: list[np.ndarray], tokens: int, known: int, prior: float, alpha: float):
-        width = len(grams.words) + 1
+        width = grams.end + 1
         self.width = width
         base = np.log10((counts[0] + alpha) / (tokens + alpha * (known + 1)))
         of_word = np.zeros(width, np.int64)
@@ -183,7 +202,8 @@ class Automaton:
         weight = np.concatenate([[1, texts], self.word_count, *counts[1:-1]]) if len(counts) > 1 else np.array([1, texts])
         self.fall = np.log10(prior / (weight + prior))
         fail = np.zeros(len(weight), np.int64)
-        self.arcs: dict[int, tuple[float, int]] = {}
+        self.arcs: dict[int, int] = {}
+        self.price, self.target = array("d"), array("q")
         self.root_next = np.where(self.word_count > 0, 2 + np.arange(width), 0) if len(counts) > 1 else np.zeros(width, np.int64)
         shorter = 10.0**base  # probability of each (k-1)-gram's last word given the rest
         for k in range(1, len(counts)):
@@ -198,8 +218,9 @@ class Automaton:
             if k + 1 < len(counts):
                 fail[offsets[k] : offsets[k] + len(n)] = suffix
             seen = np.flatnonzero(n > 0)
-            keys = (context[seen] * width + word[seen]).tolist()
-            self.arcs.update(zip(keys, zip(np.log10(p[seen]).tolist(), target[seen].tolist())))
+            self.arcs.update(zip((context[seen] * width + word[seen]).tolist(), range(len(self.price), len(self.price) + len(seen))))
+            self.price.frombytes(np.log10(p[seen]).tobytes())
+            self.target.frombytes(target[seen].astype(np.int64).tobytes())
             shorter = p
         self.fail = fail.tolist()
         self.fall = self.fall.tolist()
@@ -207,14 +228,15 @@ class Automaton:
 
     def score(self, ids: list[int]) -> float:
         """Log10 probability of a text: one walk from left to right that carries the state."""
-        get, width, fail, fall, base, root_next = self.arcs.get, self.width, self.fail, self.fall, self.base, self.root_next
+        get, width, price, target = self.arcs.get, self.width, self.price, self.target
+        fail, fall, base, root_next = self.fail, self.fall, self.base, self.root_next
         state, total = (1 if len(fall) > 1 else 0), 0.0
         for w in ids:
             while state:
                 arc = get(state * width + w)
                 if arc is not None:
-                    total += arc[0]
-                    state = arc[1]
+                    total += price[arc]
+                    state = target[arc]
                     break
                 total += fall[state]
                 state = fail[state]
@@ -258,16 +280,14 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows count and return as often as they stand there; an empty table gives an empty result; rows of a null id train.
     """
     chunks = staged(pack(docs, id_col, text_col, folds), "lm-chunks")
-    size = chunks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
+    tokens = chunks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
     shards = 64
-    while shards * SHARD_GRAMS < size / 6 * order:
+    while shards * SHARD_GRAMS < tokens * order:
         shards *= 2
     asked = chunks.select("chunk", "rows").mapInArrow(_ask(order, shards), "shard long, chunk long, k long, keys binary, own binary")
     dealt = asked.repartition("k", "shard").sortWithinPartitions("k", "shard")
     answers = staged(dealt.mapInArrow(_answer, "chunk long, k long, shard long, counts binary"), "lm-answers")
     known = sum(int(_expand(bytes(r.counts), np.int64)[0]) for r in answers.where("chunk = -1").select("counts").collect())
-    words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)) + 1
-    tokens = docs.where(~held_out(id_col, folds)).agg(F.coalesce(F.sum(words), F.lit(0))).first()[0]
     kind = dict(docs.dtypes)[id_col]
     out = f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     empty = docs.sparkSession.createDataFrame([], out).toArrow().schema
