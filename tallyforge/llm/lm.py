@@ -202,6 +202,7 @@ class Automaton:
         weight = np.concatenate([[1, texts], self.word_count, *counts[1:-1]]) if len(counts) > 1 else np.array([1, texts])
         self.fall = np.log10(prior / (weight + prior))
         fail = np.zeros(len(weight), np.int64)
+        self.start = int(len(counts) > 1)
         self.arcs: dict[int, int] = {}
         self.price, self.target = array("d"), array("q")
         self.root_next = np.where(self.word_count > 0, 2 + np.arange(width), 0) if len(counts) > 1 else np.zeros(width, np.int64)
@@ -230,7 +231,7 @@ class Automaton:
         """Log10 probability of a text: one walk from left to right that carries the state."""
         get, width, price, target = self.arcs.get, self.width, self.price, self.target
         fail, fall, base, root_next = self.fail, self.fall, self.base, self.root_next
-        state, total = (1 if len(fall) > 1 else 0), 0.0
+        state, total = self.start, 0.0
         for w in ids:
             while state:
                 arc = get(state * width + w)

@@ -86,13 +86,15 @@ def fit(stats: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_
         return QuadraticDiscriminant(prior, np.zeros(d), np.ones(d))
     total, cross = sums[:, 1 : d + 1], sums[:, d + 1 :].reshape(2, d, d)
     centre = total.sum(axis=0) / n.sum()
-    scale = np.sqrt((np.diag(cross.sum(axis=0)) / n.sum() - centre**2).clip(0)) + 1e-6
+    variance = (np.diag(cross.sum(axis=0)) / n.sum() - centre**2).clip(0)
+    scale = np.where(variance > 1e-9, np.sqrt(variance), 1.0)  # a statistic that never varies tells nothing
     means, factors, offsets = [], [], []
     for k in (0, 1):
         mean = total[k] / n[k]
         cov = (cross[k] / n[k] - np.outer(mean, mean)) * n[k] / (n[k] - 1) / np.outer(scale, scale)
         cov = (1 - shrinkage) * cov + (shrinkage * np.trace(cov) / d + 1e-6) * np.eye(d)
-        chol = np.linalg.cholesky(cov)
+        roots, axes = np.linalg.eigh((cov + cov.T) / 2)
+        chol = np.linalg.cholesky((axes * roots.clip(1e-6)) @ axes.T + 1e-9 * np.eye(d))
         means.append((mean - centre) / scale)
         factors.append(np.linalg.inv(chol))
         offsets.append(float(np.log(n[k] / n.sum()) - np.log(np.diag(chol)).sum()))
