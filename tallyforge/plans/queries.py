@@ -485,7 +485,7 @@ def header_detect(spark, sf_dir):
     """B2-B9 on made-up sheets of the offers: a header row and one row per listing, back to fields"""
     o = offers(spark, sf_dir)
     names = ("品牌", "车型", "EXW", "数量", "提货地")
-    body = o.select(F.concat(F.lit("/input/"), "supplier", F.lit("/南沙/b/m/f.csv")).alias("path"), F.lit("Sheet1").alias("sheet"), F.struct(*KEY).alias("k"), F.array("raw_brand", "raw_model", F.col("price_text"), F.col("qty").cast("string"), "location_text").alias("cells"))
+    body = o.select(F.concat(F.lit("/input/"), "supplier", F.lit("/南沙/b/m/f.csv")).alias("path"), F.lit("Sheet1").alias("sheet"), F.struct(*KEY).alias("k"), F.array("raw_brand", "raw_model", (F.lit(10000) + F.col("qty")).cast("string"), F.col("qty").cast("string"), "location_text").alias("cells"))
     body = body.withColumn("row_no", F.row_number().over(Window.partitionBy("path").orderBy("k")) + 1).select("path", "sheet", "row_no", "cells")
     head = body.select("path", "sheet").distinct().select("path", "sheet", F.lit(1).alias("row_no"), F.array(*map(F.lit, names)).alias("cells"))
     cells = written(head.unionByName(body).select("path", "sheet", "row_no", F.posexplode("cells").alias("c", "value")).select("path", "sheet", "row_no", (F.col("c") + 1).alias("col_no"), "value"), "cells")
