@@ -201,3 +201,22 @@ def item_list(matches: Column) -> Column:
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **names) -> DataFrame:
     """The rows of ``docs`` that share no window with any benchmark item, with their own columns."""
     return find_matches(docs, benchmark, text_col, **names).where(F.size("matches") == 0).select(*docs.columns)
+
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all(coalesce({_LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+items AS (SELECT DISTINCT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), {WINDOW}) AS n, array_to_string(w[j:j + {WINDOW - 1}], ' ') AS k
+  FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - {WINDOW - 1}) + 1)) AS j FROM items WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT n FROM windows),
+spots AS (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS j FROM d, lengths WHERE len(w) >= n),
+hits AS (SELECT r, j, s.n, item_id FROM spots s JOIN windows ON s.n = windows.n AND array_to_string(w[j:j + s.n - 1], ' ') = k),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(j, j + n)) AS p FROM hits) GROUP BY r),
+found AS (SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN found USING (r)
+"""

@@ -233,3 +233,16 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     alone = rows.where(~F.coalesce(good, F.lit(False))).select(F.col("id").cast("long").alias("id"), F.lit(0).cast("long").alias("n"), F.col("id").cast("long").alias("component"))
     out = linked.unionByName(alone)
     return out.select("id", F.col("n").alias("n_links"), "component", F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"))
+
+
+SQL = f"""
+WITH RECURSIVE ok AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= {COSINE}),
+reach(a, b) AS (SELECT vec_id, vec_id FROM ok UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a),
+c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT e.vec_id, coalesce(n_links, 0)::BIGINT AS n_links, coalesce(component_id, e.vec_id) AS component_id, coalesce(component_id, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN n ON e.vec_id = n.a LEFT JOIN c ON e.vec_id = c.a
+"""

@@ -98,4 +98,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": lines.SQL,
     "op5_mix_sources": mixing.SQL,
     "op8_secret_scan": secrets.SQL,
+    "op9_embedding_near_dedup": embeddings.SQL,
+    "op10_benchmark_decontamination": decontaminate.SQL,
 }
