@@ -272,7 +272,10 @@ def family_sets(spark, sf_dir):
     return matching.family_keys(p)
 
 
-@query()
+@query(f"""WITH {OFFERS_SQL}, t AS (SELECT qty, CASE raw_brand WHEN '比亚迪' THEN 'BYD' WHEN 'BYD' THEN 'BYD' WHEN '吉利' THEN 'Geely' WHEN '极氪' THEN 'Zeekr' WHEN '小米' THEN 'Xiaomi' WHEN '方程豹' THEN 'Fangchengbao' WHEN '五菱' THEN 'Wuling'
+   WHEN '零跑' THEN 'Leapmotor' WHEN '广汽埃安' THEN 'GAC' WHEN '问界' THEN 'AITO' WHEN '未知' THEN CASE WHEN contains(location_text, '小马奔腾') THEN 'Leapmotor' END END AS brand,
+  CASE raw_model WHEN '海豚' THEN 'Dolphin' WHEN '银河 E5' THEN 'Galaxy E5' WHEN '豹5' THEN 'Leopard 5' WHEN 'LZW6470X' THEN 'Starlight S' WHEN '' THEN CASE WHEN contains(location_text, '小马奔腾') THEN 'T03' END ELSE raw_model END AS model FROM offers)
+ SELECT brand, model, count(*) AS n, CAST(sum(qty) AS BIGINT) AS qty FROM t WHERE brand IS NOT NULL AND model IS NOT NULL GROUP BY brand, model""")
 def identity_resolved(spark, sf_dir):
     """J2-J7, V1, V2, C40 on the offers: listings by resolved brand and model"""
     o = offers(spark, sf_dir).select("raw_brand", "raw_model", "qty", F.concat_ws(" ", "raw_brand", "raw_model", "location_text").alias("free"))
@@ -480,6 +483,29 @@ def text_carry_forward(spark, sf_dir):
     return e.select("event_id", "user_id", last.alias("last_purchase"))
 
 
+@query("""SELECT '/input/S/L/B/M/' || c_custkey || '.csv' AS path, c_name AS model, '比亚迪' AS brand, c_mktsegment AS exterior, '电池: ' || c_nationkey || '; 续航: ' || c_custkey AS notes, 'S' AS supplier FROM customer""")
+def vertical_pivot(spark, sf_dir):
+    """Customers as key/value sheets"""
+    c = table(spark, sf_dir, "customer")
+    pairs = [("项目名称", F.col("c_name")), ("品牌", F.lit("比亚迪")), ("颜色", F.col("c_mktsegment")), ("电池", F.col("c_nationkey").cast("string")), ("续航", F.col("c_custkey").cast("string"))]
+    path = F.concat(F.lit("/input/S/L/B/M/"), F.col("c_custkey").cast("string"), F.lit(".csv"))
+    rows = c.select(path.alias("path"), F.lit("Sheet1").alias("sheet"), F.posexplode(F.array(*[F.array(F.lit(k), v) for k, v in pairs])).alias("r", "cells"))
+    cells = rows.select("path", "sheet", (F.col("r") + 1).alias("row_no"), F.posexplode("cells").alias("c", "value")).select("path", "sheet", "row_no", (F.col("c") + 1).alias("col_no"), "value")
+    cells = written(cells, "vertical")
+    out = grid.pivot_vertical(cells.join(grid.vertical_sheets(cells), grid.SHEET, "left_semi"), rules.header_rules(spark))
+    return out.select("path", "model", "brand", F.col("exteriorColor").alias("exterior"), "notes", "supplier")
+
+
+@query(f"""WITH {OFFERS_SQL}, t AS (SELECT '/input/' || supplier || '/L/B/T03/f.txt' AS path, row_number() OVER (PARTITION BY supplier ORDER BY {K}) AS row_no, price_text AS t FROM offers),
+ p AS (SELECT path, row_no, coalesce(TRY_CAST(regexp_extract(t, '[$]\s*(\d{{4,6}})', 1) AS BIGINT), TRY_CAST(regexp_extract(t, 'EXW\s*(\d{{4,6}})', 1) AS BIGINT)) AS n FROM t)
+ SELECT path, CAST(row_no AS INT) AS row_no, CAST(n AS VARCHAR) AS price, 'T03' AS model FROM p WHERE n > 0""")
+def text_listings(spark, sf_dir):
+    """The offers' price texts as running text below a model folder"""
+    o = offers(spark, sf_dir).withColumn("row_no", F.row_number().over(Window.partitionBy("supplier").orderBy(*KEY)))
+    t = o.select(F.concat(F.lit("/input/"), "supplier", F.lit("/L/B/T03/f.txt")).alias("path"), F.lit("s").alias("sheet"), "row_no", F.col("price_text").alias("text"))
+    return grid.text_rows(t).select("path", "row_no", F.col("priceExw").alias("price"), "model")
+
+
 @query(f"WITH {OFFERS_SQL} SELECT supplier, raw_brand AS brand, count(*) AS n, CAST(sum(qty) AS BIGINT) AS qty FROM offers GROUP BY supplier, raw_brand")
 def header_detect(spark, sf_dir):
     """B2-B9 on made-up sheets of the offers: a header row and one row per listing, back to fields"""
