@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.plans import jobs
 from tallyforge.registry import staged_schema
+from tallyforge.sources import files
 
 
 def test_run_sync_harvest(spark, tmp_path):
@@ -21,7 +22,8 @@ def test_run_sync_harvest(spark, tmp_path):
     staged = store.read("staged", staged_schema()).collect()
     assert [(r.id, r.brand, r.cost_exw_usd, r.order_wait_days, r.status) for r in staged] == [(1, "BYD", 68000, 42, "pending")]
     assert spark.read.json(str(tmp_path / "out" / "errors")).count() == 1
-    assert run(False).count() == 0 and store.read("staged", staged_schema()).count() == 1
+    left = files.unseen(files.discover(spark, str(tmp_path / "input")), store.read("ledger", jobs.LEDGER))
+    assert [r.path.rsplit("/", 1)[1] for r in left.select("path").collect()] == ["broken.xlsx"]
     target = str(tmp_path / "payload")
     assert [(r.batch_no, r.n) for r in jobs.sync(store, target, now_).collect()] == [(0, 1)]
     record = json.loads(spark.read.parquet(target).collect()[0].record)
