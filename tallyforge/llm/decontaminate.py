@@ -13,7 +13,7 @@ WINDOW = 10
 #: Words of documents that one suffix array covers.
 SHARD_WORDS = 1_500_000
 #: Bytes of benchmark text that one pass holds in each task; a larger benchmark takes several passes.
-PASS_BYTES = 32 << 20
+PASS_BYTES = 4 << 20
 #: Slots of the prefix filter, a power of two.
 SLOTS = 1 << 22
 _SEPARATORS = [*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]

@@ -162,7 +162,7 @@ def test_decontamination(spark, docs):
                     hit.update(range(j, j + n))
                     found |= windows[tuple(w[j : j + n])]
         want.append((r.doc_id, len(w), len(hit), sorted(map(str, found))))
-    for limit in (32 << 20, 200):
+    for limit in (decontaminate.PASS_BYTES, 200):
         decontaminate.PASS_BYTES, old = limit, decontaminate.PASS_BYTES
         try:
             out = decontaminate.find_matches(all_docs, bench)
