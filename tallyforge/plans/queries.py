@@ -497,7 +497,7 @@ def vertical_pivot(spark, sf_dir):
 
 
 @query(f"""WITH {OFFERS_SQL}, t AS (SELECT '/input/' || supplier || '/L/B/T03/f.txt' AS path, row_number() OVER (PARTITION BY supplier ORDER BY {K}) AS row_no, price_text AS t FROM offers),
- p AS (SELECT path, row_no, coalesce(TRY_CAST(regexp_extract(t, '[$]\s*(\d{{4,6}})', 1) AS BIGINT), TRY_CAST(regexp_extract(t, 'EXW\s*(\d{{4,6}})', 1) AS BIGINT)) AS n FROM t)
+ p AS (SELECT path, row_no, coalesce(TRY_CAST(regexp_extract(t, '[$]\\s*(\\d{{4,6}})', 1) AS BIGINT), TRY_CAST(regexp_extract(t, 'EXW\\s*(\\d{{4,6}})', 1) AS BIGINT)) AS n FROM t)
  SELECT path, CAST(row_no AS INT) AS row_no, CAST(n AS VARCHAR) AS price, 'T03' AS model FROM p WHERE n > 0""")
 def text_listings(spark, sf_dir):
     """The offers' price texts as running text below a model folder"""
