@@ -119,6 +119,18 @@ def test_keep_one(spark, docs):
     assert dedup_stage.keep_one_of_each(spark.createDataFrame([], DOCS)).count() == 0
 
 
+@pytest.mark.parametrize("words", [100, 400])
+def test_copies_with_a_block_more_or_less_are_found(spark, words):
+    rng = random.Random(words)
+    rows, more = [], [round((words - 4) / j) - (words - 4) for j in (0.81, 0.85, 0.9)]
+    for i in range(60):
+        base, extra = prose(rng, words), prose(rng, more[i % 3])
+        pair = (base, f"{base} {extra}") if i % 2 else (f"{extra} {base}", base)
+        rows += [(2 * i + k, t, "en", "s", 1) for k, t in enumerate(pair)]
+    kept = dedup_stage.keep_one_of_each(spark.createDataFrame(rows, DOCS))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 120, 2))
+
+
 def test_large_groups_are_cut_into_blocks(spark):
     rng = random.Random(3)
     base = prose(rng, 120).split()
