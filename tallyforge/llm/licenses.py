@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 #: A line is a candidate if it matches this.
 CUE = r"(?i)licen[cs]|copyright|copyleft|rights reserved|spdx|public domain"
 THRESHOLD = 0.5
+#: A line without a cue is compared too, but must share so many different words with a template, as "And." alone would reach one.
+LEAST_WORDS = 4
+#: Wins only where a file has no line of another licence: its words stand in the headers of open licences too.
+LAST = "Proprietary"
 #: A file is a licence file if its name says so, or if licence lines hold at least this share of its words.
 FILE_SHARE = 0.5
 FILE_NAME = r"(?i)^(licen[cs]e|copying|notice|unlicense)(\.|-|$)"
@@ -61,7 +65,8 @@ def line_licences(spark: SparkSession, lines: DataFrame, threshold: float = THRE
     tf = lines.select("line").distinct().select("line", F.explode(F.regexp_extract_all(F.lower("line"), F.lit(WORD), F.lit(0))).alias("token")).groupBy("line", "token").count()
     parts = tf.join(known, "token", "left").select("line", "token", (F.col("count") * F.coalesce("idf", F.lit(unknown))).alias("x"))
     norms = parts.groupBy("line").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    dots = parts.join(table, "token").groupBy("line", "template").agg(F.sum(F.col("x") * F.col("w")).alias("dot"))
+    dots = parts.join(table, "token").groupBy("line", "template").agg(F.sum(F.col("x") * F.col("w")).alias("dot"), F.count("*").alias("hits"))
+    dots = dots.where(F.col("line").rlike(CUE) | (F.col("hits") >= LEAST_WORDS))
     scored = dots.join(norms, "line").select("line", "template", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= threshold)
     best = scored.groupBy("line").agg(F.min(F.struct((-F.col("score")).alias("s"), "template")).alias("b"))
     return best.select("line", F.substring("b.template", 5, 100).alias("licence"), (-F.col("b.s")).alias("score"))
@@ -70,18 +75,20 @@ def line_licences(spark: SparkSession, lines: DataFrame, threshold: float = THRE
 def scan_licences(files: DataFrame, path_col: str, text_col: str = "text", threshold: float = THRESHOLD, file_share: float = FILE_SHARE) -> DataFrame:
     """``files`` with licence, licence_score, licence_from: 'header' (own lines), 'directory' (inherited) or null.
 
-    All lines of the whole text that hold a cue are compared with the templates; the best one is the file's own licence. A
+    All lines of the whole text that hold a cue or enough of the templates' words are compared with the templates; the best
+    one is the file's own licence, a reservation of all rights only if there is no other. A
     directory's licence is that of its licence files (the commonest; ties by name). A file without an own licence takes
     that of its nearest ancestor directory that has one, found by joining directories with their ancestors' paths. Null
     paths have no directory, null or empty texts no lines; repeated rows are kept; result names of ``files`` are replaced.
     """
     spark = files.sparkSession
     path, text = F.col(path_col), F.col(text_col)
-    line = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda x: x.rlike(CUE))
+    known = F.array(*[F.lit(t) for t in sorted(template_weights()[1])])
+    line = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda x: x.rlike(CUE) | (F.size(F.array_intersect(F.regexp_extract_all(F.lower(x), F.lit(WORD), F.lit(0)), known)) >= LEAST_WORDS))
     lines = files.select(path.alias("path"), F.size(F.regexp_extract_all(text, F.lit(r"\S+"), F.lit(0))).alias("words"), F.explode(F.array_distinct(line)).alias("line"))
     best = line_licences(spark, lines, threshold)
     counted = lines.join(best, "line").withColumn("own", F.size(F.regexp_extract_all("line", F.lit(r"\S+"), F.lit(0))))
-    own = counted.groupBy("path").agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("b"), F.sum("own").alias("own"), F.max("words").alias("words"))
+    own = counted.groupBy("path").agg(F.min(F.struct((F.col("licence") == LAST).alias("last"), (-F.col("score")).alias("s"), "licence")).alias("b"), F.sum("own").alias("own"), F.max("words").alias("words"))
     own = own.select("path", F.col("b.licence").alias("licence"), (-F.col("b.s")).alias("score"), "own", "words")
     name = F.regexp_extract("path", r"([^/]*)$", 1)
     holders = own.where(name.rlike(FILE_NAME) | (F.col("own") >= F.col("words") * F.lit(float(file_share))))

@@ -319,6 +319,15 @@ def test_licences(spark):
     assert got == Counter({("a/LICENSE", "Apache-2.0", "header"): 1, ("a/b/x.py", "Apache-2.0", "directory"): 2, ("a/c/LICENSE.txt", "MIT", "header"): 1, ("a/c/d/y.py", "MIT", "directory"): 1, ("z/q.py", None, None): 1, ("a/c/own.py", "GPL-3.0", "header"): 1, (None, None, None): 1, ("top", None, None): 1})
 
 
+def test_licences_without_a_cue(spark):
+    texts = {
+        "m/LICENSE": ("Permission is hereby granted, free of charge, to any person obtaining a copy", "MIT"), "g/x.c": ("/* This program is free software under the terms of the GNU GPL v3 */", "GPL-3.0"), "p/y.c": ("Copyright (c) 2020 X\nAll rights reserved.", "Proprietary"),
+        "b/LICENSE": ("Copyright (c) 2020 X\nAll rights reserved.\n\nRedistribution and use in source and binary forms are permitted", "BSD-3-Clause"), "n/z.c": ("And.\nMit.\nAre with and.", None),
+    }
+    out = licenses.scan_licences(spark.createDataFrame([(p, t) for p, (t, _) in texts.items()], "path string, text string"), "path")
+    assert {r.path: r.licence for r in out.collect()} == {p: w for p, (_, w) in texts.items()}
+
+
 def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
 
