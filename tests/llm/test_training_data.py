@@ -235,35 +235,49 @@ def test_mix(spark, docs):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
-def test_lm(spark, docs, order):
+@pytest.mark.parametrize(("order", "chunk", "fan"), [(1, 1 << 22, 512), (2, 1 << 22, 512), (3, 1 << 22, 512), (3, 3000, 4), (4, 20_000, 2)])
+def test_lm(spark, docs, order, chunk, fan):
+    """Against counts in dictionaries; small chunks and fans make several levels of the butterfly."""
     import zlib
 
-    rows = docs.select("doc_id", "text").collect()
-    tokens = [(r.doc_id, [*(r.text or "").encode().lower().split(), "</s>"]) for r in rows]
+    docs = docs.select("doc_id", "text").union(spark.createDataFrame([(900, "\x00end \x00start end start"), (901, "\x00end </s>")], "doc_id long, text string"))
+    tokens = [(r.doc_id, [*((r.text or "").encode().lower().split()), ("end",)]) for r in docs.collect()]
     held = {i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in tokens}
     counts, n_docs = [Counter() for _ in range(order + 1)], 0
     for i, t in tokens:
         if not held[i]:
             n_docs += 1
-            x = ["<s>", *t]
+            x = [("start",), *t]
             for k in range(1, order + 1):
                 counts[k].update(tuple(x[e - k + 1 : e + 1]) for e in range(max(1, k - 1), len(x)))
     total, known = sum(counts[1].values()), len(counts[1])
+    smooth = {}
+    for k in range(2, order + 1):
+        n1, n2 = (sum(c == n for c in counts[k].values()) for n in (1, 2))
+        sizes = Counter(int(math.log2(c)) for c in counts[k - 1].values())
+        if k == 2:
+            sizes[int(math.log2(n_docs))] += 1
+        low, high = 0.0, 1.0
+        for _ in range(40):
+            b = (low + high) / 2
+            low, high = (b, high) if sum(n * (1.5 * 2**j if j else 1.0) ** (1 - b) for j, n in sizes.items()) > len(counts[k]) else (low, b)
+        smooth[k] = min(max(n1 / (n1 + 2 * n2), 0.05), 0.95), (low + high) / 2
     want = defaultdict(list)
     for i, t in tokens:
-        x, score, base = ["<s>", *t], 0.0, 0.0
+        x, score, base = [("start",), *t], 0.0, 0.0
         for e in range(1, len(x)):
             p = (counts[1][(x[e],)] + 0.1) / (total + 0.1 * (known + 1))
             base += math.log10(p)
             for k in range(2, min(order, e + 1) + 1):
                 h = tuple(x[e - k + 1 : e])
-                c = n_docs if h == ("<s>",) else counts[k - 1][h]
-                p = (counts[k][(*h, x[e])] + lm.PRIOR * p) / (c + lm.PRIOR)
+                c = n_docs if h == (("start",),) else counts[k - 1][h]
+                if c:
+                    a = smooth[k][0] * c ** -smooth[k][1]
+                    p = (1 - a) * counts[k][(*h, x[e])] / c + a * p
             score += math.log10(p)
         want[i].append((held[i], len(t), sum(counts[1][(w,)] > 0 for w in t), total, base, score))
     got = defaultdict(list)
-    for r in lm.score_texts(docs.repartition(3), order=order).collect():
+    for r in lm.score_texts(docs.repartition(3), order=order, fan=fan, chunk_bytes=chunk).collect():
         got[r.id].append(tuple(r)[1:])
     assert got.keys() == want.keys()
     for i in want:
