@@ -4,21 +4,25 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import text_bytes
+from .shared import BROADCAST_ROWS, drop_staged, fresh, staged, text_bytes
 
 WINDOW = 10
-#: Words of documents that one suffix array covers.
+#: Words of passages that one suffix array covers.
 SHARD_WORDS = 1_500_000
-#: Bytes of benchmark text that one pass holds in each task; a larger benchmark takes several passes.
+#: Bytes of benchmark text that one pass holds in each task; a larger benchmark takes several passes, one after the other.
 PASS_BYTES = 4 << 20
-#: Slots of the prefix filter, a power of two.
-SLOTS = 1 << 22
+#: Words of one piece of an item; longer items are cut into pieces that overlap by a window less a word.
+PIECE_WORDS = 50_000
+#: Bits of the filter: at least so many for each word of the benchmark, and at most 2 ** MAX_SLOT_BITS (32 MB) in all.
+SLOTS_PER_WORD, MAX_SLOT_BITS = 64, 28
 _SEPARATORS = [*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]
 _TABLE = bytes(0x20 if b in _SEPARATORS and not 0x41 <= b <= 0x5A else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
-MATCH = "array<struct<start:long,length:long,item:long>>"
+_MIX, _STEP = np.uint64(0x9E3779B97F4A7C15), 0xD6E8FEB86659FD93
+MATCH = "array<struct<start:long,length:long,item:string>>"
 
 
 def bench_words(text: bytes) -> list[bytes]:
@@ -26,33 +30,74 @@ def bench_words(text: bytes) -> list[bytes]:
     return text.translate(_TABLE).split()
 
 
+def count_words(text: Column) -> Column:
+    """How many words ``bench_words`` finds; 0 for null."""
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")), F.lit(0)).cast("long")
+
+
+class Filter:
+    """One bit for each hash of a window (its words, and how many): says which words of a text can lie in a match."""
+
+    def __init__(self, words: int, window: int):
+        self.window = window
+        self.slot_bits = int(np.clip(int(max(1, words) * SLOTS_PER_WORD).bit_length(), 16, MAX_SLOT_BITS))
+        self.bits = np.zeros(1 << (self.slot_bits - 3), np.uint8)
+        self.lengths: set[int] = set()
+
+    def _slots(self, words: list[bytes]):
+        """For each number of words in use, the slots of all runs of so many words."""
+        h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+        total, factor = np.zeros(len(h), np.uint64), 1
+        for n in range(1, min(self.window, len(h)) + 1):
+            total = total[: len(h) - n + 1] + h[n - 1 :] * np.uint64(factor)
+            factor = factor * _STEP % (1 << 64)
+            if n in self.lengths:
+                x = (total ^ (total >> np.uint64(29)) ^ np.uint64(n)) * _MIX
+                yield n, ((x ^ (x >> np.uint64(32))) * _MIX >> np.uint64(64 - self.slot_bits)).astype(np.int64)
+
+    def add(self, words: list[bytes]) -> None:
+        if words:
+            self.lengths.add(min(len(words), self.window))
+            for n, slot in self._slots(words):
+                if n == min(len(words), self.window):
+                    np.bitwise_or.at(self.bits, slot >> 3, np.left_shift(1, slot & 7).astype(np.uint8))
+
+    def passages(self, words: list[bytes]) -> list[tuple[int, int]]:
+        """(first word, behind the last word) of the runs that every possible match lies within."""
+        inside = np.zeros(len(words) + 1, np.int64)
+        for n, slot in self._slots(words):
+            at = np.flatnonzero(self.bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
+            np.add.at(inside, at, 1)
+            np.add.at(inside, at + n, -1)
+        on = np.diff(np.concatenate([[0], (np.cumsum(inside)[:-1] > 0).astype(np.int8), [0]]))
+        return list(zip(np.flatnonzero(on == 1).tolist(), np.flatnonzero(on == -1).tolist()))
+
+
 class TestSuffixes:
-    """Word ids, packed windows and a prefix filter for one pass over the benchmark."""
+    """Word ids and packed first words of every suffix of one part of the benchmark that is a window or more."""
 
     __test__ = False
 
-    def __init__(self, items: list[tuple[int, bytes]], window: int):
-        words = [(i, bench_words(t)) for i, t in items]
+    def __init__(self, pieces: list[tuple[str | None, bytes]], window: int):
+        self.items: list[str | None] = [i for i, _ in pieces]
+        words = [ws.split() for _, ws in pieces]
         self.ids: dict[bytes, int] = {}
-        coded = [(i, np.array([self.ids.setdefault(w, len(self.ids) + 1) for w in ws], np.int64)) for i, ws in words if ws]
+        coded = [np.array([self.ids.setdefault(w, len(self.ids) + 1) for w in ws], np.int64) for ws in words]
+        self.window, self.depth = window, max(map(len, words), default=1)
         self.bits = max(1, int(len(self.ids) + 1).bit_length())
         self.per_key = 63 // self.bits
-        self.window = window
         self.keys = -(-window // self.per_key)
-        lengths = np.concatenate([np.full(max(1, len(c) - window + 1), min(len(c), window)) for _, c in coded]) if coded else np.zeros(0, np.int64)
-        starts = [c[j : j + window] for _, c in coded for j in range(max(1, len(c) - window + 1))]
-        self.length = lengths
-        self.item = np.array([i for i, c in coded for _ in range(max(1, len(c) - window + 1))], np.int64)
-        padded = np.zeros((len(starts), window), np.int64)
-        for k, s in enumerate(starts):
-            padded[k, : len(s)] = s
+        n = np.array([max(1, len(c) - window + 1) for c in coded], np.int64)
+        self.piece = np.repeat(np.arange(len(coded)), n)
+        self.length = np.array([min(len(c), window) for c in coded], np.int64)[self.piece]
+        padded = np.zeros((int(n.sum()), window), np.int64)
+        row = 0
+        for c, m in zip(coded, n.tolist()):
+            k = min(len(c), window)
+            padded[row : row + m, :k] = np.lib.stride_tricks.sliding_window_view(c, k)
+            row += m
         self.low = self.pack(padded)
-        top = np.where(np.arange(window) < lengths[:, None], padded, (1 << self.bits) - 1) if len(starts) else padded
-        self.high = self.pack(top)
-        self.prefix = int(min(3, lengths.min())) if len(starts) else 1
-        self.slots = np.zeros(SLOTS, bool)
-        if len(starts):
-            self.slots[self.slot(padded)] = True
+        self.high = self.pack(np.where(np.arange(window) < self.length[:, None], padded, (1 << self.bits) - 1))
 
     def pack(self, words: np.ndarray) -> np.ndarray:
         """Word ids of each row in a few integers that compare as the rows do; missing words are 0."""
@@ -63,11 +108,24 @@ class TestSuffixes:
                 out[k] = (out[k] << self.bits) | (words[:, c] if c < self.window else 0)
         return out
 
-    def slot(self, words: np.ndarray) -> np.ndarray:
-        h = np.zeros(len(words), np.uint64)
-        for j in range(self.prefix):
-            h = (h ^ words[:, j].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        return (h >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+
+def suffix_array(ids: np.ndarray, depth: int) -> np.ndarray:
+    """Positions in the order of the suffixes that begin there, by their first ``depth`` words at least (prefix doubling)."""
+    n, k = len(ids), 1
+    rank = np.unique(ids, return_inverse=True)[1].astype(np.int64)
+    order = np.argsort(rank, kind="stable")
+    while k < depth:
+        behind = np.zeros(n, np.int64)
+        behind[: max(0, n - k)] = rank[k:] + 1
+        key = rank * (n + 2) + behind
+        order = np.argsort(key, kind="stable")
+        new = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])[:n]
+        rank = np.empty(n, np.int64)
+        rank[order] = new
+        if n == 0 or new[-1] == n - 1:
+            break
+        k *= 2
+    return order
 
 
 def _search(sorted_keys: np.ndarray, wanted: np.ndarray, after: bool) -> np.ndarray:
@@ -86,100 +144,161 @@ def _search(sorted_keys: np.ndarray, wanted: np.ndarray, after: bool) -> np.ndar
     return lo
 
 
-def shard_matches(docs: list[np.ndarray], tests: TestSuffixes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(doc, start, length, item) of the longest runs of words that a document shares with an item, from one suffix array.
+def shard_matches(passages: list[np.ndarray], tests: TestSuffixes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(passage, start, length, piece) of the longest runs of words that a passage shares with a piece of the benchmark.
 
-    The array holds those suffixes of the shard whose first words begin some window; no other suffix can match one. Each
-    window is searched in it; neighbouring windows of an item that match on the same diagonal are one longer match.
+    Every test suffix is searched in the shard's suffix array: the training suffixes that begin with its first words lie
+    side by side there. Neighbouring suffixes that match on the same diagonal are one longer match.
     """
     none = tuple(np.zeros(0, np.int64) for _ in range(4))
-    sizes = np.array([len(d) for d in docs], np.int64)
-    gap = tests.window
+    sizes, gap = np.array([len(p) for p in passages], np.int64), tests.window
+    if not len(sizes) or not len(tests.length):
+        return none
     first = np.concatenate([[0], np.cumsum(sizes + gap)])[:-1]
     ids = np.zeros(int((sizes + gap).sum()) + gap, np.int64)
-    for d, f in zip(docs, first):
-        ids[f : f + len(d)] = d
-    if not len(tests.item):
-        return none
-    view = np.lib.stride_tricks.sliding_window_view(ids, tests.window)
-    at = np.flatnonzero(ids[: len(view)] != 0)
-    for j in range(1, tests.prefix):
-        at = at[ids[at + j] != 0]
-    at = at[tests.slots[tests.slot(view[:, : tests.prefix][at])]]
-    if not len(at):
+    for p, f in zip(passages, first):
+        ids[f : f + len(p)] = p
+    suffixes = suffix_array(ids, min(tests.depth, int(sizes.max())))
+    suffixes = suffixes[ids[suffixes] != 0]
+    if not len(suffixes):
         return none
-    keys = tests.pack(view[at])
-    order = np.lexsort(keys[::-1])
-    keys, suffixes = keys[:, order], at[order]
+    keys = tests.pack(np.lib.stride_tricks.sliding_window_view(ids, gap)[suffixes])
     lo, hi = _search(keys, tests.low, False), _search(keys, tests.high, True)
     n = (hi - lo).clip(0)
     if not n.sum():
         return none
-    window = np.repeat(np.arange(len(n)), n)
+    test = np.repeat(np.arange(len(n)), n)
     pos = suffixes[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-    item, length = tests.item[window], tests.length[window]
-    doc = np.searchsorted(first, pos, side="right") - 1
-    diagonal = pos - window
-    order = np.lexsort((pos, diagonal, item))
-    doc, pos, item, length, diagonal = (x[order] for x in (doc, pos, item, length, diagonal))
+    piece, length = tests.piece[test], tests.length[test]
+    own = np.searchsorted(first, pos, side="right") - 1
+    diagonal = pos - test
+    order = np.lexsort((pos, diagonal, piece))
+    own, pos, piece, length, diagonal = (x[order] for x in (own, pos, piece, length, diagonal))
     new = np.ones(len(pos), bool)
-    new[1:] = (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1]) | (pos[1:] != pos[:-1] + 1) | (doc[1:] != doc[:-1])
+    new[1:] = (piece[1:] != piece[:-1]) | (diagonal[1:] != diagonal[:-1]) | (pos[1:] != pos[:-1] + 1) | (own[1:] != own[:-1])
     heads = np.flatnonzero(new)
     run = np.diff(np.append(heads, len(pos)))
-    return doc[heads], pos[heads] - first[doc[heads]], length[heads] + run - 1, item[heads]
+    return own[heads], pos[heads] - first[own[heads]], length[heads] + run - 1, piece[heads]
 
 
-def _scan(text_at: int, tests, schema: pa.Schema):
+def _pieces(benchmark: DataFrame, item_col: str, item_text: str, window: int, piece_words: int) -> DataFrame:
+    """(item, words, n): the different items as blank-separated words, long ones in overlapping pieces."""
+
     def run(batches):
-        t = tests.value
         for batch in batches:
-            texts = text_bytes(batch.column(text_at))
-            counts, matches, shard, held, lo = [], [], [], 0, 0
+            for i, text in enumerate(text_bytes(batch.column(1))):
+                words = bench_words(text)
+                cuts = range(0, max(1, len(words) - window + 1), piece_words)
+                parts = [words[c : c + piece_words + window - 1] for c in cuts if words]
+                item = batch.column(0).slice(i, 1)
+                if parts:
+                    items = pa.concat_arrays([item] * len(parts))
+                    yield pa.RecordBatch.from_arrays([items, pa.array([b" ".join(p) for p in parts]), pa.array([len(p) for p in parts], pa.int64())], ["item", "words", "n"])
 
-            def flush():
-                out = [[] for _ in shard]
-                for d, s, n, i in zip(*(x.tolist() for x in shard_matches(shard, t))):
-                    out[d].append({"start": s, "length": n, "item": i})
-                matches.extend(out)
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text).alias("text")).where("text is not null").distinct()
+    return items.mapInArrow(run, "item string, words binary, n long")
 
-            for text in texts:
+
+def _found_passages(shared):
+    def run(batches):
+        test = shared.value
+        for batch in batches:
+            rows: tuple[list, list, list] = [], [], []
+            for i, text in enumerate(text_bytes(batch.column(2))):
                 words = bench_words(text)
-                counts.append(len(words))
-                shard.append(np.fromiter(map(t.ids.get, words, [0] * len(words)), np.int64, len(words)))
+                for a, b in test.passages(words):
+                    for column, x in zip(rows, (i, a, b" ".join(words[a:b]))):
+                        column.append(x)
+            at = pa.array(rows[0], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.binary())], ["h1", "h2", "start", "words"])
+
+    return run
+
+
+def _matched(shared, shard_words: int):
+    def run(batches):
+        tests = shared.value
+        for batch in batches:
+            coded, where, held = [], [], 0
+
+            def flush(where, coded):
+                own, start, length, piece = shard_matches(coded, tests)
+                row = np.array(where, np.int64)[own] if len(own) else own
+                at = pa.array(row, pa.int64())
+                begin = batch.column(2).to_numpy()[row] if len(row) else row
+                items = pa.array([tests.items[p] for p in piece.tolist()], pa.string())
+                return pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(begin + start, pa.int64()), pa.array(length, pa.int64()), items], ["h1", "h2", "start", "length", "item"])
+
+            for i, words in enumerate(x.split() for x in batch.column(3).to_pylist()):
+                coded.append(np.fromiter(map(tests.ids.get, words, [0] * len(words)), np.int64, len(words)))
+                where.append(i)
                 held += len(words)
-                if held >= SHARD_WORDS:
-                    flush()
-                    shard, held = [], 0
-            flush()
-            own = [pa.array(counts, pa.int64()), pa.array(matches, schema.field(len(schema) - 1).type)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *own], schema=pa.schema([*batch.schema, *list(schema)[-2:]]))
+                if held >= shard_words:
+                    yield flush(where, coded)
+                    coded, where, held = [], [], 0
+            if coded:
+                yield flush(where, coded)
 
     return run
 
 
-def find_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
-    """``docs`` with n_words and matches: every longest verbatim run shared with an item (start, length in words, item).
+def content_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, pass_bytes: int = PASS_BYTES, piece_words: int = PIECE_WORDS, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """(h1, h2, matches) of every text (by content key) that shares words with the benchmark.
 
-    A match is ``window`` words at least, or all words of an item that has fewer. Documents are never shuffled: each task
-    builds suffix arrays over its own shards and searches every test suffix. The benchmark is measured first; beyond
-    ``PASS_BYTES`` it is taken in several passes, each of which holds one part. Null and empty texts have no words and no
-    matches; items without words match nothing; an item id is an integer and a null one is left out; repeated items or
-    rows repeat in the result. Columns of ``docs`` named n_words or matches are replaced.
+    Documents are read once: a filter of bounded size over all windows picks the passages that can match, and equal
+    passages of equal texts are folded. The passages are the training side of the suffix arrays. The benchmark is cut into
+    parts of about ``pass_bytes``; each pass broadcasts one part's suffixes, writes its matches and lets the part go, so
+    neither the driver nor a task holds more than a part, however large the benchmark is.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text).alias("text")).where("item is not null and text is not null").distinct()
-    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    passes = max(1, -(-int(total) // PASS_BYTES))
-    out = docs.drop(*[c for c in ("n_words", "matches") if c != text_col])
-    plain = out.columns
+    pieces = staged(_pieces(benchmark, item_col, item_text, window, piece_words), "benchmark")
+    bytes_, words = pieces.agg(F.coalesce(F.sum(F.octet_length("words")), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    passes = max(1, -(-int(bytes_) // pass_bytes))
+    part = F.pmod(F.xxhash64("item", "words"), F.lit(passes))
+    test = Filter(int(words), window)
+    for k in range(passes):
+        for row in pieces.where(part == k).select("words").collect():
+            test.add(bytes(row.words).split())
+    shared = spark.sparkContext.broadcast(test)
+    source = docs.where(F.length(text_col) > 0).select(*_content_key(F.col(text_col)), F.col(text_col).alias("text"))
+    passages = staged(source.mapInArrow(_found_passages(shared), "h1 long, h2 long, start long, words binary").distinct(), "passages")
+    shared.unpersist()
+    found = None
     for k in range(passes):
-        part = items.where(F.pmod(F.xxhash64("item"), F.lit(passes)) == k)
-        tests = spark.sparkContext.broadcast(TestSuffixes([(r.item, r.text.encode()) for r in part.collect()], window))
-        schema = ", ".join([*(f"`{c}` {t}" for c, t in out.dtypes), f"n{k} long", f"m{k} {MATCH}"])
-        arrow = pa.schema([("n", pa.int64()), ("m", pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("item", pa.int64())])))])
-        out = out.mapInArrow(_scan(out.columns.index(text_col), tests, arrow), schema)
-    found = F.flatten(F.array(*[f"m{k}" for k in range(passes)])) if passes > 1 else F.col("m0")
-    return out.select(*plain, F.col("n0").alias("n_words"), found.alias("matches"))
+        rows = [(r.item, bytes(r.words)) for r in pieces.where(part == k).select("item", "words").collect()]
+        tests = spark.sparkContext.broadcast(TestSuffixes(rows, window))
+        out = staged(passages.mapInArrow(_matched(tests, shard_words), "h1 long, h2 long, start long, length long, item string"), "matches")
+        tests.unpersist()
+        found = out if found is None else found.unionByName(out)
+    drop_staged(passages)
+    drop_staged(pieces)
+    return found.groupBy("h1", "h2").agg(F.array_sort(F.collect_set(F.struct("start", "length", "item"))).alias("matches"))
+
+
+def _content_key(text: Column) -> tuple[Column, Column]:
+    return F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("again"), text).alias("h2")
+
+
+def find_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **how) -> DataFrame:
+    """``docs`` with n_words and matches: every longest verbatim run shared with an item (start, length in words, item).
+
+    A match is ``window`` words at least, or all words of an item that has fewer; across two pieces of an item of more than
+    ``PIECE_WORDS`` words it is given as two that overlap. Texts are never shuffled unless more than
+    ``BROADCAST_ROWS`` matches make the join back to the rows one of two large tables. Null and empty texts have no words and
+    no matches; items without words match nothing; item ids are read as strings, rows of one id are one item, and so are
+    those of a null id; repeated rows repeat in the result. Columns of ``docs`` named n_words or matches are replaced, other
+    names can't clash.
+    """
+    found = staged(content_matches(docs, benchmark, text_col, **how), "matched")
+    weight = found.agg(F.coalesce(F.sum(F.size("matches") + 1), F.lit(0))).first()[0]
+    plain = [c for c in docs.columns if c not in ("n_words", "matches") or c == text_col]
+    a, b, c, d, m = fresh(docs, "a", "b", "c", "d", "m")
+    h1, h2 = _content_key(F.col(text_col))
+    found = found.select(F.col("h1").alias(c), F.col("h2").alias(d), F.col("matches").alias(m))
+    found = F.broadcast(found) if weight <= BROADCAST_ROWS else found
+    joined = docs.withColumn(a, h1).withColumn(b, h2).join(found, (F.col(a) == F.col(c)) & (F.col(b) == F.col(d)), "left")
+    none = F.from_json(F.lit("[]"), MATCH)
+    return joined.select(*plain, count_words(F.col(text_col)).alias("n_words"), F.coalesce(F.col(m), none).alias("matches"))
 
 
 def words_hit(matches: Column) -> Column:
@@ -194,13 +313,18 @@ def words_hit(matches: Column) -> Column:
 
 
 def item_list(matches: Column) -> Column:
-    """The items matched, as sorted distinct strings."""
-    return F.array_sort(F.array_distinct(F.transform(matches, lambda m: m["item"].cast("string"))))
+    """The items matched, as sorted distinct strings; a null one comes last."""
+    return F.array_sort(F.array_distinct(F.transform(matches, lambda m: m["item"])))
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **names) -> DataFrame:
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` that share no window with any benchmark item, with their own columns."""
-    return find_matches(docs, benchmark, text_col, **names).where(F.size("matches") == 0).select(*docs.columns)
+    found = staged(content_matches(docs, benchmark, text_col, **how).select("h1", "h2"), "contaminated")
+    a, b = fresh(docs, "a", "b")
+    found = found.select(F.col("h1").alias(a), F.col("h2").alias(b))
+    found = F.broadcast(found) if found.count() <= BROADCAST_ROWS else found
+    h1, h2 = _content_key(F.col(text_col))
+    return docs.join(found, (h1 == F.col(a)) & (h2 == F.col(b)), "left_anti")
 
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -208,7 +332,7 @@ _WORDS = rf"regexp_extract_all(coalesce({_LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B
 
 SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
-items AS (SELECT DISTINCT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+items AS (SELECT DISTINCT item_id, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
 windows AS (
   SELECT DISTINCT item_id, least(len(w), {WINDOW}) AS n, array_to_string(w[j:j + {WINDOW - 1}], ' ') AS k
   FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - {WINDOW - 1}) + 1)) AS j FROM items WHERE len(w) > 0)),

@@ -70,6 +70,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_matches(docs, read_table(spark, sf_dir, "benchmark"))
     items = decontaminate.item_list(F.col("matches"))
+    # (array_join leaves a null item out)
     return found.select(
         "doc_id",
         "n_words",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,9 +19,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local one only where the session names none (tests)."""
+    """The folder named by ``spark.checkpoint.dir``. Only a local session, whose executors share the driver's disk, may leave
+    it unset: it gets a temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="tallyforge-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -46,6 +50,15 @@ def drop_staged(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names after ``names`` that ``df`` does not use, whatever the case of its letters."""
+    used = {c.lower() for c in df.columns}
+    mark = "__"
+    while any(f"{mark}{n}".lower() in used for n in names):
+        mark += "_"
+    return [f"{mark}{n}" for n in names]
+
+
 def held_out(id_col: str, folds: int) -> Column:
     """True for rows whose crc32 of the id as text is divisible by ``folds``; a null id is not held out."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds == 0, F.lit(False))

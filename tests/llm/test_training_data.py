@@ -153,18 +153,25 @@ def low(s):
     return re.sub("[A-Z]", lambda m: m.group(0).lower(), s)
 
 
-def test_decontamination(spark, docs):
-    rng = random.Random(9)
-    items = [(i, prose(rng, n)) for i, n in enumerate((40, 25, 10, 9, 3, 1))] + [(6, ""), (7, None), (8, "!!")]
-    hidden = [(1000 + i, "Before, " + t.upper() + "; behind. " * 3) for i, t in items if t]
-    all_docs = docs.select("doc_id", "text").union(spark.createDataFrame(hidden, "doc_id long, text string"))
-    bench = spark.createDataFrame(items, "item_id long, text string")
+def windows_of(items):
     windows = {}
     for i, t in items:
         w = WORD.findall(low(t or ""))
         for j in range(max(1, len(w) - 9) if w else 0):
             windows.setdefault(tuple(w[j : j + 10]), set()).add(i)
-    want = []
+    return windows
+
+
+@pytest.mark.parametrize("how", [{}, {"pass_bytes": 200, "piece_words": 7, "shard_words": 60}])
+def test_decontamination(spark, docs, how):
+    rng = random.Random(9)
+    items = [(f"i{i}", prose(rng, n)) for i, n in enumerate((40, 25, 10, 9, 3, 1))] + [("6", ""), ("7", None), ("8", "!!"), (None, prose(rng, 30)), ("i0", prose(rng, 12))]
+    items += [items[1]]
+    hidden = [(1000 + k, "Before, " + t.upper() + "; behind. " * 3) for k, (i, t) in enumerate(items) if t] + [(2000, " ".join(items[0][1].split()[5:17])), (2001, "x " + items[0][1] + " y " + items[0][1])]
+    all_docs = docs.select("doc_id", "text").union(spark.createDataFrame(hidden + hidden[:1], "doc_id long, text string"))
+    all_docs = all_docs.withColumns({c: F.lit("clash") for c in ("n_words", "matches", "h1", "item", "words", "m", "__a")})
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    windows, want = windows_of(items), []
     for r in all_docs.collect():
         w = WORD.findall(low(r.text or ""))
         hit, found = set(), set()
@@ -173,20 +180,31 @@ def test_decontamination(spark, docs):
                 if tuple(w[j : j + n]) in windows:
                     hit.update(range(j, j + n))
                     found |= windows[tuple(w[j : j + n])]
-        want.append((r.doc_id, len(w), len(hit), sorted(map(str, found))))
-    for limit in (decontaminate.PASS_BYTES, 200):
-        decontaminate.PASS_BYTES, old = limit, decontaminate.PASS_BYTES
-        try:
-            out = decontaminate.find_matches(all_docs, bench)
-            got = [(r.doc_id, r.n_words, r.h, r.i) for r in out.select("doc_id", "n_words", decontaminate.words_hit(F.col("matches")).alias("h"), decontaminate.item_list(F.col("matches")).alias("i")).collect()]
-        finally:
-            decontaminate.PASS_BYTES = old
-        key = lambda x: (x[0] is None, x[0] or 0, x[1])
-        assert sorted(got, key=key) == sorted(want, key=key)
+        want.append((r.doc_id, len(w), len(hit), sorted(found, key=lambda x: (x is None, x or ""))))
+    out = decontaminate.find_matches(all_docs, bench, **how)
+    assert set(out.columns) == set(all_docs.columns)
+    got = [(r.doc_id, r.n_words, r.h, r.i) for r in out.select("doc_id", "n_words", decontaminate.words_hit(F.col("matches")).alias("h"), decontaminate.item_list(F.col("matches")).alias("i")).collect()]
+    key = lambda x: (x[0] is None, x[0] or 0, x[1])
+    assert sorted(got, key=key) == sorted(want, key=key)
+    longest = {tuple(m) for r in out.where("doc_id = 2001").collect() for m in r.matches if m.item == "i0"}
+    assert longest == {(1, 40, "i0"), (42, 40, "i0")} or how and max(n for _, n, _ in longest) == 16  # pieces of 16 words
+    clean = decontaminate.remove_contaminated(all_docs, bench, **how)
+    assert Counter(r.doc_id for r in clean.collect()) == Counter(i for i, _, h, _ in want if not h) and clean.columns == all_docs.columns
+    assert decontaminate.find_matches(docs.limit(0), bench).count() == 0
+
+
+def test_decontamination_without_items(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.remove_contaminated(docs, none).count() == docs.count()
 
 
+def test_suffix_array():
+    rng = np.random.default_rng(1)
+    for n, m in ((0, 2), (1, 2), (200, 2), (300, 40)):
+        ids = rng.integers(0, m, n)
+        assert decontaminate.suffix_array(ids, n + 1).tolist() == sorted(range(n), key=lambda i: ids[i:].tolist())
+
+
 def test_lines(spark):
     rows = [(i, f"head\nown {i}\n head ", "h") for i in range(8)] + [(8, "only\n\nonce", "h"), (9, None, "h"), (10, "", None), (11, "head", None), (None, "head\nx", "h"), (11, "head", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("n_lines", F.lit("clash"))
