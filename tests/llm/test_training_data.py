@@ -253,6 +253,20 @@ def test_mix(spark, docs):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mix_equal_rows(spark):
+    """Rows equal in id and text are taken one by one; columns with the operator's own words for names stay."""
+    rows = [(1, "one two three four five", s) for s in ("a", "b") for _ in range(200)] + [(2, None, None), (3, "x", "c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    df = df.withColumns({c: F.lit("clash") for c in ("whole", "cut", "_source", "__h", "key", "h2", "share", "n", "quota", "size")})
+    out = mixing.mix(df)
+    assert sorted(out.columns) == sorted({*df.columns, "source_size", "target", "copies", "taken"})
+    sums = {r.source: r for r in out.groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.count("*").alias("n"), F.max("copies").alias("most")).collect()}
+    assert {s: r.n for s, r in sums.items()} == {"a": 200, "b": 200, "c": 1, None: 1}
+    assert all(abs(r.taken - r.target) <= 5 and r.most <= 3 for r in sums.values())
+    again = mixing.mix(df.repartition(3))
+    assert Counter((r.source, r.taken) for r in again.collect()) == Counter((r.source, r.taken) for r in out.collect())
+
+
 @pytest.mark.parametrize(("order", "chunk", "fan"), [(1, 1 << 22, 512), (2, 1 << 22, 512), (3, 1 << 22, 512), (3, 3000, 4), (4, 20_000, 2)])
 def test_lm(spark, docs, order, chunk, fan):
     """Against counts in dictionaries; small chunks and fans make several levels of the butterfly."""
