@@ -213,14 +213,37 @@ def test_lines(spark):
     for r in out.collect():
         got[r.doc_id].append((r.text, r.n_lines, r.n_dropped))
     assert got[0] == [("own 0", 3, 2)] and got[8] == [("only\n\nonce", 3, 0)] and got[9] == [(None, 0, 0)] and got[10] == [("", 1, 0)]
-    assert got[11] == [("head", 1, 0)] * 2 and got[None] == [("x", 2, 1)]
+    assert got[11] == [("", 1, 1)] * 2 and got[None] == [("x", 2, 1)]
     assert lines.drop_boilerplate(df.limit(0)).count() == 0
 
 
-def test_copies_of_a_page_are_one_page(spark):
+def test_pages_and_copies(spark):
+    """Each row is a page; only with fold_copies is a text that a host stores many times a single one."""
     rows = [(i, "copied\ntext", "h") for i in range(50)] + [(100 + i, f"other {i}", "h") for i in range(50)]
-    out = lines.drop_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string"))
-    assert out.where("n_dropped > 0").count() == 0
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert lines.drop_boilerplate(df).where("n_dropped > 0").count() == 50
+    assert lines.drop_boilerplate(df, fold_copies=True).where("n_dropped > 0").count() == 0
+
+
+def test_lines_by_brute_force(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = [(i if i % 9 else None, "\n".join(rng.choice(["top", " foot ", "", f"own {rng.randrange(60)}", "ñandú"]) for _ in range(rng.randrange(6))), rng.choice(["a", "a", "b", None])) for i in range(300)]
+    rows += [(400, "\n".join(["top"] * 20_000), "b"), (401, None, "b"), rows[5], rows[5]]
+    pages, seen = Counter(s for _, t, s in rows if t is not None), Counter()
+    for _, t, s in rows:
+        seen.update({(s, x.strip(" ")) for x in (t or "").split("\n") if x.strip(" ")})
+    bad = {k for k, n in seen.items() if n >= 2 and n > 0.05 * pages[k[0]]}
+    want = Counter()
+    for i, t, s in rows:
+        ls = t.split("\n") if t is not None else []
+        kept = [x for x in ls if (s, x.strip(" ")) not in bad]
+        want[i, "\n".join(kept) if t is not None else None, len(ls), len(ls) - len(kept)] += 1
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    df = df.withColumns({c: F.lit("clash") for c in ("_bad", "_kept", "key", "of", "host", "__of", "part", "n_dropped")})
+    for limit in (200_000, 1):
+        monkeypatch.setattr(lines, "BROADCAST_ROWS", limit)
+        out = lines.drop_boilerplate(df)
+        assert Counter((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in out.collect()) == want and set(df.columns) <= set(out.columns)
 
 
 def test_water_fill(spark):
