@@ -26,7 +26,7 @@ def boilerplate_lines(docs: DataFrame, host_col: str = "source", text_col: str =
     compared without outer spaces; blank ones never count. Null hosts form one host of their own.
     """
     pages = docs.where(F.col(text_col).isNotNull()).select(
-        F.col(host_col).alias("host"), F.struct(F.xxhash64(F.col(text_col)).alias("a"), F.xxhash64(F.lit("page"), F.col(text_col)).alias("b")).alias("page"), F.transform(F.split(F.col(text_col), "\n"), F.trim).alias("lines")
+        F.col(host_col).alias("host"), F.struct(F.xxhash64(F.col(text_col)).alias("a"), F.xxhash64(F.lit("page"), F.col(text_col)).alias("b")).alias("page"), F.transform(F.split(F.col(text_col), "\n"), lambda x: F.trim(x)).alias("lines")
     )
     count = F.count_distinct("page") if fold_copies else F.count("page")
     totals = pages.groupBy("host").agg(count.alias("host_pages"))
