@@ -49,8 +49,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    findings, _ = secrets.scan(docs)
-    out = secrets.findings_by_row(docs, findings)
+    out = secrets.scan_all(docs)
     of = lambda kind: F.coalesce(F.size(F.filter("spans", lambda s: s["kind"] == kind)), F.lit(0)).cast("long")
     base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE))
     return out.select(

@@ -357,25 +357,46 @@ SECRETS = [
 ]
 
 
-def test_secrets(spark):
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(SECRETS)] + [(0, SECRETS[0]), (None, SECRETS[3])], "doc_id long, text string")
-    findings, entries = secrets.scan(df)
-    out = secrets.findings_by_row(df, findings).collect()
-    assert len(out) == df.count()
-    for r in out:
-        text = SECRETS[3] if r.id is None else SECRETS[r.id]
-        assert [(s.kind, s.start, s.stop) for s in r.spans or [] if s.kind in secrets.BASE] == brute_spans(text or "")
-    assert entries.count() == len({t or "" for t in SECRETS}) * len(secrets.RULES)
+def test_secrets(spark, monkeypatch, tmp_path):
+    many = " ".join(f"token=abcdef{i:08d}" for i in range(1500))
+    texts = [*SECRETS, many]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(0, texts[0]), (None, texts[3]), (None, None), (50, "")] + [(100 + i, texts[2]) for i in range(40)], "doc_id long, text string")
+    df = df.withColumns({c: F.lit("clash") for c in ("blob", "id", "due", "part", "spans")})
+    for limit in (200_000, 1):
+        monkeypatch.setattr(secrets, "BROADCAST_ROWS", limit)
+        out = secrets.scan_all(df).collect()
+        assert len(out) == df.count()
+        for r in out:
+            text = "" if r.id == 50 else texts[2 if (r.id or 0) >= 100 else r.id or 0]
+            if r.id is None:
+                assert [(s.kind, s.start, s.stop) for s in r.spans or [] if s.kind in secrets.BASE] in (brute_spans(texts[3]), [])
+            else:
+                assert [(s.kind, s.start, s.stop) for s in r.spans or [] if s.kind in secrets.BASE] == brute_spans(text or "")
+    assert secrets.scan(df)[1].count() == len({t or "" for t in texts}) * len(secrets.RULES)
+    assert secrets.scan_all(df.limit(0)).count() == 0
+
+
+def test_ledger_is_incremental(spark, tmp_path):
+    ledger = secrets.Ledger(spark, f"{tmp_path}/ledger")
+    one = spark.createDataFrame([(1, "token=abcdefghijklm"), (2, "x")], "doc_id long, text string")
+    ledger.update(one)
+    assert ledger.seen().count() == 2 * len(secrets.RULES) and ledger.findings().count() == 1
+    more = one.union(spark.createDataFrame([(3, "token=nopqrstuvwxyz"), (4, "token=abcdefghijklm")], "doc_id long, text string"))
+    _, due = secrets.scan(more, ledger=ledger.seen())
+    assert due.select("blob").distinct().count() == 1
+    out = {r.id: len(r.spans or []) for r in secrets.scan_all(more, folder=ledger.folder).collect()}
+    assert out == {1: 1, 2: 0, 3: 1, 4: 1} and ledger.seen().count() == 3 * len(secrets.RULES)
+    newer = (secrets.Rule("assign", 2, secrets.RULES[0].pattern, 2, 12), *secrets.RULES[1:])
+    assert {r.rule for r in secrets.scan(one, ledger=ledger.seen(), rules=newer)[1].collect()} == {"assign@2"}
 
 
-def test_ledger_is_incremental(spark):
-    df = spark.createDataFrame([(1, "token=abcdefghijklm"), (2, "x")], "doc_id long, text string")
-    _, ledger = secrets.scan(df)
-    more = df.union(spark.createDataFrame([(3, "token=nopqrstuvwxyz")], "doc_id long, text string"))
-    findings, entries = secrets.scan(more, ledger=ledger)
-    assert [r.kind for r in findings.collect()] == ["assign"] and entries.select("blob").distinct().count() == 1
-    newer = (secrets.Rule("assign", 2, secrets.RULES[0].pattern, 2, 12), *secrets.RULES[1:])
-    assert {r.rule for r in secrets.scan(df, ledger=ledger, rules=newer)[1].collect()} == {"assign@2"}
+def test_secret_rules_take_linear_time(spark):
+    import time
+
+    texts = ["a" * 300_000 + "://x", "eyJ" * 100_000 + "a.eyJ", "token" * 60_000, "-----BEGIN " * 30_000, "a://" * 80_000, "x:" * 150_000]
+    began = time.time()
+    secrets.scan_all(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert time.time() - began < 60
 
 
 def test_licences(spark):
