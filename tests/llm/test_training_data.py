@@ -399,23 +399,37 @@ def test_secret_rules_take_linear_time(spark):
     assert time.time() - began < 60
 
 
+def licences_of(spark, rows, **clash):
+    df = spark.createDataFrame(rows, "path string, text string").withColumns({c: F.lit("clash") for c in ("licence", "inherited", "_dir", "h1", "own", "unit", "__a1")})
+    out = licenses.scan_licences(df, "path")
+    assert {"inherited", "_dir", "h1", "own", "unit", "__a1"} <= set(out.columns)
+    return Counter((r.path, r.licence, r.licence_from) for r in out.collect())
+
+
 def test_licences(spark):
     rows = [
-        ("a/LICENSE", "Licensed under the Apache License, Version 2.0."), ("a/b/x.py", "print(1)"), ("a/c/LICENSE.txt", "Released under the MIT License."), ("a/c/d/y.py", "code"),
-        ("z/q.py", "nothing"), ("a/c/own.py", "code\nThis work is licensed under the GNU General Public License, version 3.\n" + "more words " * 20), (None, None), ("a/b/x.py", "print(1)"), ("top", ""),
+        ("a/LICENSE", "Licensed under the Apache License, Version 2.0.\n" + "code words here\n" * 30), ("a/b/x.py", "print(1)"), ("a/c/LICENSE.txt", "Released under the MIT License."), ("a/c/d/y.py", "code"),
+        ("z/q.py", "nothing"), ("a/c/own.py", "code\nThis work is licensed under the GNU General Public License, version 3.\n" + "gromp blarg " * 20), (None, None), ("a/b/x.py", "print(1)"), ("top", ""),
+        (None, "Released under the MIT License."), (None, "code only"), ("a/b/x.py", "Licensed under CC BY-NC 4.0."), ("z/long.py", LONG),
     ]
-    out = licenses.scan_licences(spark.createDataFrame(rows, "path string, text string").withColumn("licence", F.lit("clash")), "path")
-    got = Counter((r.path, r.licence, r.licence_from) for r in out.collect())
-    assert got == Counter({("a/LICENSE", "Apache-2.0", "header"): 1, ("a/b/x.py", "Apache-2.0", "directory"): 2, ("a/c/LICENSE.txt", "MIT", "header"): 1, ("a/c/d/y.py", "MIT", "directory"): 1, ("z/q.py", None, None): 1, ("a/c/own.py", "GPL-3.0", "header"): 1, (None, None, None): 1, ("top", None, None): 1})
-
-
-def test_licences_without_a_cue(spark):
-    texts = {
-        "m/LICENSE": ("Permission is hereby granted, free of charge, to any person obtaining a copy", "MIT"), "g/x.c": ("/* This program is free software under the terms of the GNU GPL v3 */", "GPL-3.0"), "p/y.c": ("Copyright (c) 2020 X\nAll rights reserved.", "Proprietary"),
-        "b/LICENSE": ("Copyright (c) 2020 X\nAll rights reserved.\n\nRedistribution and use in source and binary forms are permitted", "BSD-3-Clause"), "n/z.c": ("And.\nMit.\nAre with and.", None),
-    }
-    out = licenses.scan_licences(spark.createDataFrame([(p, t) for p, (t, _) in texts.items()], "path string, text string"), "path")
-    assert {r.path: r.licence for r in out.collect()} == {p: w for p, (_, w) in texts.items()}
+    want = {("a/LICENSE", "Apache-2.0", "header"): 1, ("a/b/x.py", "CC-BY-NC-4.0", "header"): 1, ("a/b/x.py", "CC-BY-NC-4.0", "directory"): 2, ("a/c/LICENSE.txt", "MIT", "header"): 1, ("a/c/d/y.py", "MIT", "directory"): 1}
+    want |= {("z/q.py", None, None): 1, ("a/c/own.py", "GPL-3.0", "header"): 1, (None, None, None): 2, ("top", None, None): 1, (None, "MIT", "header"): 1, ("z/long.py", None, None): 1}
+    assert licences_of(spark, rows) == Counter(want)
+    assert licenses.scan_licences(spark.createDataFrame([], "path string, text string"), "path").count() == 0
+
+
+def test_licence_texts(spark):
+    """Whole licence texts, wrapped as in files, notices in comments, and lines that only share common words."""
+    import textwrap
+
+    texts = {f"t{i}/f.txt": ("Copyright (c) 2020 X\n\n" + textwrap.fill(t, 70, initial_indent=" * ", subsequent_indent=" * "), name) for i, (name, t) in enumerate((n, max(ts, key=len)) for n, ts in licenses.TEMPLATES.items() if n != "Proprietary")}
+    texts |= {
+        "m/x.c": ("Permission is hereby granted, free of charge, to any person obtaining a copy", "MIT"), "g/x.c": ("/* This program is free software under the terms of the GNU GPL v3 */", "GPL-3.0"), "p/y.c": ("Copyright (c) 2020 X\nAll rights reserved.", "Proprietary"),
+        "b/x.c": ("Copyright (c) 2020 X\nAll rights reserved.\n\nRedistribution and use in source and binary forms are permitted", "BSD-3-Clause"), "n/z.c": ("And.\nMit.\nAll.\nAre with and. The use of the work in this file.", None),
+        "s/x.rs": ("// SPDX-License-Identifier: Apache-2.0\nfn main() {}", "Apache-2.0"),
+    }
+    got = licences_of(spark, [(p, t) for p, (t, _) in texts.items()])
+    assert {p: n for p, n, _ in got} == {p: w for p, (_, w) in texts.items()}
 
 
 def vectors(spark, rows):
