@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components, spanning_stars
-from .shared import group_bounds, staged, whole_groups
+from .shared import for_join, group_bounds, staged, whole_groups
 
 COSINE = 0.93
 TREES = 6
-#: Vectors that the splits are fitted on at most; all vectors are indexed.
+#: Vectors that the first splits are fitted on at most; all vectors are indexed. Leaves that are still too large grow on by
+#: samples of their own.
 MAX_SAMPLE = 20_000
 #: Vectors of one leaf aimed at.
 LEAF = 1500
+#: Vectors that a leaf's own splits are fitted on, in each round of growth.
+LEAF_SAMPLE = 512
+#: Subtrees that are sent to every task, of some kilobytes each; more are joined by a shuffle.
+MAX_TREES = 2_000
 #: Half width of the band around a split whose vectors go to both sides.
 SPILL = 0.025
 #: Vectors of one leaf and label that one task compares; larger leaves are cut into pairs of blocks.
@@ -107,16 +114,15 @@ def fit_forest(vectors: DataFrame, trees: int = TREES, leaf: int = LEAF, most: i
     return roots, dims["d"]
 
 
-def _leaf_rows(forest, split: dict[tuple[int, int], int], with_vectors: bool):
-    """Rows (grp, leaf, pair, own, node, copies, leaves, v): each vector once for every leaf it falls into."""
+def _with_leaves(forest):
+    """Rows (grp, node, copies, leaves, v): each vector with the leaves it falls into; leaf 0: another dimension."""
 
     def run(batches):
         roots, dim = forest.value
         for batch in batches:
-            grp, node, copies = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("grp", "node", "copies"))
             vectors = batch.column("v")
             fits = np.asarray(vectors.value_lengths()) == dim
-            reached: list[list[int]] = [[] if f else [0] for f in fits]  # leaf 0: vectors of another dimension
+            reached: list[list[int]] = [[] if f else [0] for f in fits]
             at = np.flatnonzero(fits)
             if len(at):
                 unit = _units(vectors.take(pa.array(at)))
@@ -124,25 +130,85 @@ def _leaf_rows(forest, split: dict[tuple[int, int], int], with_vectors: bool):
                     for leaf, rows in _route(root, unit):
                         for r in at[rows].tolist():
                             reached[r].append(leaf)
-            out = []
-            for r, leaves in enumerate(reached):
-                for leaf in leaves:
-                    cut = split.get((int(grp[r]), leaf), 1)
-                    own = int((int(node[r]) * 0x9E3779B97F4A7C15 >> 17) % cut)
-                    out += [(r, leaf, min(own, o) * cut + max(own, o), own) for o in range(cut)]
-            row, leaf, pair, own = (np.array(x, np.int64) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 4
-            cells = [pa.array(grp[row]), pa.array(leaf)]
-            names = ["grp", "leaf"]
-            if with_vectors:
-                lists = pa.array([sorted(x) for x in reached], pa.list_(pa.int64()))
-                cells += [pa.array(pair), pa.array(own), pa.array(node[row]), pa.array(copies[row]), lists.take(pa.array(row)), vectors.take(pa.array(row))]
-                names += ["pair", "own", "node", "copies", "leaves", "v"]
-            for lo in range(0, len(row), 4096):
-                yield pa.RecordBatch.from_arrays([c.slice(lo, 4096) for c in cells], names)
+            lists = pa.array([sorted(x) for x in reached], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("grp"), batch.column("node"), batch.column("copies"), lists, vectors], ["grp", "node", "copies", "leaves", "v"])
 
     return run
 
 
+def _subtree(leaf_size: int):
+    """(grp, leaf, tree) for the sampled vectors of one leaf; null where no split parts them."""
+
+    def run(table: pa.Table) -> pa.Table:
+        grp, leaf, total = (table.column(c)[0].as_py() for c in ("grp", "leaf", "total"))
+        unit = _units(table.column("v").combine_chunks())
+        least = max(8.0, leaf_size * len(unit) / total)
+        root, _ = grow(unit, max(least, len(unit) / 12), leaf % (1 << 32), 0)  # about a dozen leaves at a time
+        tree = None if root.direction is None else pickle.dumps(root)
+        return pa.table({"grp": pa.array([grp], pa.int64()), "leaf": pa.array([leaf], pa.int64()), "tree": pa.array([tree], pa.binary())})
+
+    return run
+
+
+def _descend(batches):
+    """Rows (grp, leaf, node) of the leaves below, numbered by a hash of the leaf above and the place in its tree."""
+    for batch in batches:
+        leaf, trees = batch.column("leaf").to_numpy(), batch.column("tree")
+        out: tuple[list, list, list] = [], [], []
+        grp, node = batch.column("grp").to_numpy(), batch.column("node").to_numpy()
+        for key in np.unique(np.stack([grp, leaf]), axis=1).T:
+            rows = np.flatnonzero((grp == key[0]) & (leaf == key[1]))
+            root = pickle.loads(trees[int(rows[0])].as_py())
+            for child, inside in _route(root, _units(batch.column("v").take(pa.array(rows)))):
+                number = xxhash.xxh64_intdigest(f"{key[1]}/{child}") >> 1
+                for column, x in zip(out, (grp[rows[inside]], np.full(len(inside), number), node[rows[inside]])):
+                    column.append(x)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in out], ["grp", "leaf", "node"])
+
+
+def _grown(base: DataFrame, leaf: int, sample: int = LEAF_SAMPLE) -> DataFrame:
+    """``base`` with the leaves grown on until none holds more than ``leaf`` vectors of a label, or no split parts it.
+
+    Each round takes a sample of each leaf that is too large, grows a small tree on it where the sample lies, and sends only
+    that leaf's vectors down that tree. Trees are joined to vectors by leaf, so no task and not the driver holds them all.
+    """
+    done, now, rounds = None, base.select("grp", F.explode("leaves").alias("leaf"), "node"), 0
+    while True:
+        big = staged(now.where("leaf <> 0").groupBy("grp", "leaf").agg(F.count("*").alias("total")).where(F.col("total") > leaf), "large-leaves")
+        if big.isEmpty():
+            break
+        held = for_join(big, "large")
+        picked = now.join(held, ["grp", "leaf"]).where(F.pmod(F.xxhash64("node", "leaf"), F.col("total")) < sample)
+        vectors = base.select("node", "v")
+        trees = picked.join(vectors, "node").select("grp", "leaf", "total", "v").groupBy("grp", "leaf").applyInArrow(_subtree(leaf), "grp long, leaf long, tree binary")
+        trees = staged(trees.where("tree is not null"), "subtrees")
+        if trees.isEmpty():
+            break
+        few = trees.count() <= MAX_TREES
+        part = F.broadcast(trees) if few else trees
+        rest = now.join(part.select("grp", "leaf"), ["grp", "leaf"], "left_anti")
+        done = rest if done is None else done.unionByName(rest)
+        moved = now.join(part, ["grp", "leaf"]).join(vectors, "node").select("grp", "leaf", "node", "tree", "v")
+        now, rounds = staged(moved.mapInArrow(_descend, "grp long, leaf long, node long"), "leaves"), rounds + 1
+    if not rounds:
+        return base
+    leaves = done.unionByName(now).groupBy("node").agg(F.array_sort(F.collect_set("leaf")).alias("leaves"))
+    return base.drop("leaves").join(leaves, "node")
+
+
+def _dealt(rows: DataFrame, block: int) -> DataFrame:
+    """One row for each leaf of a vector; in a leaf beyond ``block`` vectors for each pair of blocks that has its own."""
+    each = rows.withColumn("leaf", F.explode("leaves"))
+    hot = each.groupBy("grp", "leaf").count().where(F.col("count") > block)
+    cuts = for_join(hot.select("grp", "leaf", F.ceil(F.col("count") / block).cast("long").alias("cut")), "hot-leaves")
+    zero = F.lit(0).cast("long")
+    if cuts.isEmpty():
+        return each.withColumn("own", zero).withColumn("pair", zero)
+    each = each.join(cuts, ["grp", "leaf"], "left").withColumn("cut", F.coalesce("cut", F.lit(1).cast("long")))
+    each = each.withColumn("own", F.pmod(F.xxhash64("node"), "cut")).withColumn("other", F.explode(F.sequence(zero, F.col("cut") - 1)))
+    return each.withColumn("pair", F.least("own", "other") * F.col("cut") + F.greatest("own", "other"))
+
+
 def _met_before(leaves: list[list[int]], leaf: int) -> np.ndarray | None:
     """Membership of rows in leaves of smaller number: rows that share one have been compared there."""
     earlier = [[x for x in own if x < leaf] for own in leaves]
@@ -198,12 +264,13 @@ def _compare(cosine: float):
     return run
 
 
-def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", cosine: float = COSINE, trees: int = TREES, leaf: int = LEAF, block: int = BLOCK) -> DataFrame:
+def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", cosine: float = COSINE, trees: int = TREES, leaf: int = LEAF, block: int = BLOCK, grown: int | None = None, most: int = MAX_SAMPLE) -> DataFrame:
     """(id, n_links, component, kept): one row for each vector.
 
     Vectors of equal label and dimension link at ``cosine`` or more. Equal vectors are folded into one node that counts its
     copies. Each pair that shares a leaf is compared in the first such leaf only, so links are counted once and no pair is
-    written out; leaves beyond ``block`` vectors are compared as pairs of blocks. Vectors that are null, zero or hold null
+    written out. Trees grow until no leaf holds more than ``grown`` vectors of a label (``leaf``, if not given); only
+    a group so dense that no split parts it stays larger, and is compared as pairs of blocks of ``block``. Vectors that are null, zero or hold null
     or non-finite components, and rows with a null label, link with nothing. Rows that repeat an id count as one vector, the
     one of the smallest label and components; rows with a null id stay, unlinked, with a null component.
     """
@@ -217,12 +284,11 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     used = rows.where(good).select(F.col("id").cast("long").alias("id"), *key, "v")
     folded = used.groupBy("grp", "h1", "h2").agg(F.min("id").alias("node"), F.count("id").alias("copies"))
     nodes = staged(used.join(folded.select("node", "copies"), used["id"] == F.col("node")).select("grp", "h1", "h2", "node", "copies", "v"), "vectors")
-    forest = table.sparkSession.sparkContext.broadcast(fit_forest(nodes, trees, leaf))
-    source = nodes.select("grp", "node", "copies", "v")
-    sizes = source.mapInArrow(_leaf_rows(forest, {}, False), "grp long, leaf long").groupBy("grp", "leaf").count().where(F.col("count") > block)
-    split = {(r[0], r[1]): -(-r[2] // block) for r in sizes.collect()}  # at most trees x spill x vectors / block leaves
+    forest = table.sparkSession.sparkContext.broadcast(fit_forest(nodes, trees, leaf, most))
     kind = dict(nodes.dtypes)["v"]
-    keyed = source.mapInArrow(_leaf_rows(forest, split, True), f"grp long, leaf long, pair long, own long, node long, copies long, leaves array<long>, v {kind}")
+    base = nodes.select("grp", "node", "copies", "v").mapInArrow(_with_leaves(forest), f"grp long, node long, copies long, leaves array<long>, v {kind}")
+    leafed = _grown(staged(base, "leaves"), grown or leaf)
+    keyed = _dealt(leafed, block).select("grp", "leaf", "pair", "own", "node", "copies", "leaves", "v")
     keyed = keyed.repartition("grp", "leaf", "pair").sortWithinPartitions("grp", "leaf", "pair")
     found = staged(keyed.mapInArrow(_compare(cosine), "src long, dst long, n long"), "vector-links")
     counts = found.where("n is not null").groupBy(F.col("src").alias("node")).agg(F.sum("n").alias("n"))

@@ -448,7 +448,7 @@ def test_embeddings(spark):
         rows.append((n, v, 0))
         n += 1
     rows += [(n, rows[0][1], None), (None, rows[0][1], 0), rows[0], rows[0]]
-    out = embeddings.near_vectors(vectors(spark, rows), leaf=40, block=24).collect()
+    out = embeddings.near_vectors(vectors(spark, rows).withColumns({c: F.lit("clash") for c in ("id", "v", "leaf", "grp", "node")}), leaf=40, block=24).collect()
     seen = {}
     for i, v, label in rows:
         if i is not None:
@@ -467,6 +467,22 @@ def test_embeddings(spark):
     assert embeddings.near_vectors(vectors(spark, [])).count() == 0
 
 
+def test_embeddings_with_many_leaves(spark):
+    """Trees that go on growing by samples of their leaves: over a thousand leaves, recall against brute force."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(6000, 32))
+    base[:600] = base[0] + rng.normal(0, 0.02, (600, 32))  # a group that no split parts
+    near = base[600:2600] + rng.normal(0, 0.25, (2000, 32))
+    x = np.concatenate([base, near]).astype(np.float32)
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    df = vectors(spark, [(i, v.tolist(), 1) for i, v in enumerate(x)])
+    want = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    out = {r.id: r.n_links for r in embeddings.near_vectors(df, leaf=400, grown=40, most=500).collect()}
+    got = np.array([out[i] for i in range(len(x))])
+    assert (got <= want).all() and want[6000:].sum() > 300 and (got[:600] == want[:600]).all()
+    assert got[600:].sum() >= 0.9 * want[600:].sum(), (got[600:].sum(), want[600:].sum())
+
+
 def labelled(spark, make, n=500):
     rng = random.Random(4)
     rows, labels = [], []
