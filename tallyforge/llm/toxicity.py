@@ -18,8 +18,6 @@ from .shared import held_out, staged, text_bytes
 FOLDS = 5
 #: At most so many labelled rows are used to fit, chosen by a seeded hash.
 MAX_LABELLED = 20_000
-#: At most so many words and word beginnings make up the learned lexicon.
-MAX_LEXICON = 5_000
 PREFIXES = (4, 5, 6)
 NEAR = 6
 SECOND_PERSON = frozenset(
@@ -87,7 +85,7 @@ def features(text: bytes, lexicon: Lexicon, own: int | None = None) -> list[floa
     if any(c in text for c in (b"@", b"$", b"*", b"0", b"1", b"3", b"4", b"5", b"7", b"!", b"|", b"#", b"%", b"_", b"-")):
         for token in text.split():
             core = token.strip(b".,;:'\"!?()*#%&$-_")
-            if not core.isalpha() and 3 <= len(core) <= 40 and any(c in _INNER for c in core[1:-1]) and any(97 <= c | 32 <= 122 for c in core) and sum(48 <= c <= 57 for c in core) * 2 < len(core):
+            if not core.isalpha() and any(c in _INNER for c in core[1:-1]) and any(97 <= c | 32 <= 122 for c in core) and sum(48 <= c <= 57 for c in core) * 2 < len(core):
                 obfuscated += 1
                 lowered = core.translate(_LEET).lower()
                 hidden += max(lexicon.weigh(lowered, own), lexicon.weigh(lowered.translate(None, b"*-_#%"), own)) > 0
@@ -131,7 +129,7 @@ def learn_lexicon(train: DataFrame) -> Lexicon:
     total = counted.where(F.length("unit") == 0).collect()
     toxic, clean = (total[0].t, total[0].c) if total else (0, 0)
     lift = F.log((F.col("t") + 0.5) / (toxic + 1.0)) - F.log((F.col("c") + 0.5) / (clean + 1.0))
-    strong = counted.where((F.length("unit") > 0) & (F.col("t") >= 3) & (lift >= 2.5)).orderBy((F.col("t") * lift).desc(), "unit").limit(MAX_LEXICON)
+    strong = counted.where((F.length("unit") > 0) & (F.col("t") >= 3) & (lift >= 2.5))
     return Lexicon({bytes(r.unit): (r.t, r.c) for r in strong.collect()}, toxic, clean)
 
 
@@ -156,7 +154,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
     Fitting uses at most ``MAX_LABELLED`` labelled rows outside the held-out fold: a lexicon is counted on them, boosted
     trees are grown on four fifths and an isotonic curve calibrates them on the rest. Scoring covers every whole text.
-    Null counts as empty, repeated rows repeat; without three rows of each class all scores are the smoothed prior.
+    Null and empty texts are scored like others and very long ones whole, repeated rows repeat, ties of several labels for
+    an id go to the largest; an empty table gives none; other columns are not read. Without three rows of each class all
+    scores are the smoothed prior. The lexicon holds the words of a bounded sample, so its size is bounded too.
     """
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sample = staged(labelled_sample(labels, label_col, id_col), "toxic-sample")
@@ -172,9 +172,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         return texts.select("id", F.lit((one + 1.0) / (one + zero + 2.0)).alias("score"))
     trees = GBTClassifier(maxIter=24, maxDepth=3, stepSize=0.25, maxBins=64, seed=7).fit(rows.where("not held"))
     raw = vector_to_array("probability")[1]
-    if min(n.get((True, 0), 0), n.get((True, 1), 0)) < 3:
-        return trees.transform(scored).select("id", raw.alias("score"))
+    if min(n.get((True, 0), 0), n.get((True, 1), 0)) < 3:  # too few to set aside: calibrate on the rows that the trees have seen
+        rows = rows.withColumn("held", F.lit(True))
     curve = IsotonicRegression(featuresCol="raw", labelCol="label").fit(trees.transform(rows.where("held")).select(raw.alias("raw"), "label"))
     out = curve.transform(trees.transform(scored).select("id", raw.alias("raw")))
-    # a small share of the uncalibrated score orders rows on the curve's flat steps
-    return out.select("id", (F.lit(0.98) * F.greatest(F.lit(0.0), F.least(F.lit(1.0), "prediction")) + F.lit(0.02) * F.col("raw")).alias("score"))
+    return out.select("id", F.greatest(F.lit(0.0), F.least(F.lit(1.0), "prediction")).alias("score"))
