@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import drop_staged, staged
+from .shared import BROADCAST_ROWS, drop_staged, staged
 
 
 def spanning_stars(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -39,28 +39,46 @@ def _contract(batches):
         yield pa.RecordBatch.from_arrays([pa.array(src), pa.array(dst)], ["u", "v"])
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+#: Neighbours from which a node is a hub.
+HUB = 256
+
+
+def _with_low(edges: DataFrame, low: DataFrame) -> DataFrame:
+    """Edges (u, v) with m, the smallest neighbour of u. Hubs' edges meet it by a broadcast of the hubs' rows (of which there
+    are at most edges / ``HUB``; beyond ``BROADCAST_ROWS`` they are joined like others, and Spark splits such partitions),
+    so the shuffle deals only small groups."""
+    low = staged(low, "smallest")
+    hubs = low.where(F.col("n") > HUB).select(F.col("u").alias("hub"), F.col("m").alias("hub_m"))
+    low = low.select("u", "m")
+    if not 0 < hubs.count() <= BROADCAST_ROWS:
+        return edges.join(low, "u")
+    marked = edges.join(F.broadcast(hubs), F.col("u") == F.col("hub"), "left")
+    key = F.when(F.col("hub").isNull(), F.col("u")).otherwise(F.xxhash64("v"))  # hubs' edges are spread, their match is not read
+    near = low.select(F.col("u").alias("key"), "m")
+    return marked.withColumn("key", key).join(near, "key", "left").select("u", "v", F.coalesce("hub_m", "m").alias("m"))
+
+
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node that has an edge; component is the smallest node reachable.
 
     ``edges`` holds two long columns, in any order and direction, repeats and self-loops allowed. Each partition first
-    shrinks its own edges to stars, then large-star and small-star steps alternate until every edge points at a root.
-    A hub's edges are only ever aggregated (with map-side combine) and joined, so no group is held in one task.
+    shrinks its own edges to stars, then large-star and small-star steps alternate until every edge points at a root; each
+    round joins further trees, so they end by themselves. Minima are aggregated with map-side combine.
     """
     u, v = edges.columns[:2]
     e = edges.select(F.greatest(u, v).cast("long").alias("u"), F.least(u, v).cast("long").alias("v")).where("u > v")
     e = staged(e.mapInArrow(_contract, "u long, v long"), "links")
-    for _ in range(max_rounds):
+    while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = _with_low(both.where("v > u"), low).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
+        large = staged(large, "links")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(low.withColumnRenamed("m", "v")).where("u > v").distinct()
         new = staged(small, "links")
         drop_staged(e)
+        drop_staged(large)
         e = new
         if e.join(e.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count() == 0:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            return e.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components, spanning_stars
-from .shared import group_bounds, lower_words, staged, text_bytes, whole_groups
+from .shared import for_join, group_bounds, lower_words, staged, text_bytes, whole_groups
 
 BITS = 64
 #: Members of one bucket that a single task compares; a larger bucket is cut into pairs of blocks of this size.
@@ -168,9 +168,9 @@ def _choose(n: int, k: int) -> float:
     return float(np.prod([(n - i) / (i + 1) for i in range(k)]))
 
 
-def _signatures(parts: list[Part], split: dict[int, int], block: int):
-    """Rows (bucket, block pair, node, fp, probe). A row indexes its own value of each part, and probes the smaller values
-    within the threshold: of two values that differ, the larger one has the highest differing bit set and probes."""
+def _signatures(parts: list[Part]):
+    """Rows (bucket, node, fp, probe). A row indexes its own value of each part, and probes the smaller values within the
+    threshold: of two values that differ, the larger one has the highest differing bit set and probes."""
 
     def run(batches):
         for batch in batches:
@@ -184,29 +184,24 @@ def _signatures(parts: list[Part], split: dict[int, int], block: int):
                 for size in range(part.threshold + 1):
                     for mask in combinations(range(len(part.bits)), size):
                         keep = slice(None) if not size else (value >> np.uint64(mask[-1])) & np.uint64(1) == 1
-                        flip = np.uint64(sum(1 << j for j in mask))
-                        v = value[keep] ^ flip
-                        if not len(v):
-                            continue
+                        v = value[keep] ^ np.uint64(sum(1 << j for j in mask))
                         bucket = (np.uint64(k) << np.uint64(58)) | v
-                        cells = bucket.view(np.int64), node[keep], fp[keep], np.full(len(v), size > 0)
-                        yield from _blocks(cells, split, block)
+                        if len(v):
+                            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (bucket.view(np.int64), node[keep], fp[keep], np.full(len(v), size > 0))], ["bucket", "node", "fp", "probe"])
 
     return run
 
 
-def _blocks(cells, split: dict[int, int], block: int):
-    bucket, node, fp, probe = cells
-    cut = np.array([split.get(b, 1) for b in bucket.tolist()]) if split else np.ones(len(bucket), np.int64)
-    plain = cut == 1
-    out = [(bucket[plain], np.zeros(plain.sum(), np.int64), node[plain], fp[plain], probe[plain])]
-    for i in np.flatnonzero(~plain):  # hot buckets: the row joins every pair of blocks that has its own
-        c = int(cut[i])
-        own = int((int(fp[i]) * 0x9E3779B97F4A7C15 >> 20) % c)
-        pairs = np.array([min(own, o) * c + max(own, o) for o in range(c)])
-        out.append((np.full(c, bucket[i]), pairs, np.full(c, node[i]), np.full(c, fp[i]), np.full(c, probe[i])))
-    columns = [np.concatenate(x) for x in zip(*out)]
-    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["bucket", "pair", "node", "fp", "probe"])
+def _dealt(rows: DataFrame, hot: DataFrame, block: int) -> DataFrame:
+    """Rows with ``pair``: 0, or for a hot bucket (bucket, count) each pair of blocks that has the row's own block."""
+    cuts = hot.select("bucket", F.ceil(F.col("count") / block).cast("long").alias("cut"))
+    cuts = for_join(cuts, "hot-buckets")
+    if cuts.isEmpty():
+        return rows.withColumn("pair", F.lit(0).cast("long"))
+    cut = F.coalesce("cut", F.lit(1).cast("long"))
+    rows = rows.join(cuts, "bucket", "left").withColumn("cut", cut).withColumn("own", F.pmod(F.xxhash64("fp"), "cut"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cut") - 1)))
+    return rows.select("bucket", (F.least("own", "other") * F.col("cut") + F.greatest("own", "other")).alias("pair"), "node", "fp", "probe")
 
 
 def _near_in_buckets(radius: int, every_pair: bool):
@@ -269,10 +264,9 @@ def hamming_links(fps: DataFrame, radius: int = 3, node: str = "node", fp: str =
     parts = parts or plan_parts(fps, fp, radius)
     source = fps.select(F.col(node).alias("node"), F.col(fp).alias("fp"))
     index = [Part(p.bits, 0) for p in parts]
-    rows = "bucket long, pair long, node long, fp long, probe boolean"
-    hot = source.mapInArrow(_signatures(index, {}, block), rows).groupBy("bucket").count().where(F.col("count") > block)
-    split = {b: -(-n // block) for b, n in hot.collect()}  # at most parts x rows / block keys
-    keyed = source.mapInArrow(_signatures(parts, split, block), rows).repartition("bucket", "pair").sortWithinPartitions("bucket", "pair")
+    rows = "bucket long, node long, fp long, probe boolean"
+    hot = source.mapInArrow(_signatures(index), rows).groupBy("bucket").count().where(F.col("count") > block)
+    keyed = _dealt(source.mapInArrow(_signatures(parts), rows), hot, block).repartition("bucket", "pair").sortWithinPartitions("bucket", "pair")
     return keyed.mapInArrow(_near_in_buckets(radius, every_pair), "src long, dst long")
 
 
