@@ -238,7 +238,7 @@ _HEADERS = "concat(CASE CAST(l_orderkey % 8 AS INT) WHEN 0 THEN '官方指导价
 def _header_rules() -> list[tuple]:
     registry: dict[str, str] = {}
     for _, _, name, _, aliases in fixed.FIELDS:
-        registry |= {a.lower(): name for a in aliases.split(" ")}
+        registry |= {a.lower(): name for a in aliases}
     named = [("equals", f.lower(), f) for f, _ in fixed.HEADER_ALIASES]
     return [(i, *r) for i, r in enumerate(named + [("contains", a.lower(), f) for f, al in fixed.HEADER_ALIASES for a in al] + [("contains", a, f) for a, f in registry.items()])]
 

@@ -25,7 +25,7 @@ def staged_schema() -> T.StructType:
 
 def registry_table(spark: SparkSession) -> DataFrame:
     """(column, sink_name, name, kind, aliases)."""
-    return spark.createDataFrame([(c, s, n, k, a.split(" ")) for c, s, n, k, a in fixed.FIELDS], "column string, sink_name string, name string, kind string, aliases array<string>")
+    return spark.createDataFrame([(c, s, n, k, list(a)) for c, s, n, k, a in fixed.FIELDS], "column string, sink_name string, name string, kind string, aliases array<string>")
 
 
 def table_ddl(name: str = "source_candidates") -> str:

@@ -9,10 +9,7 @@ from . import fixed
 
 
 def built_in_brand_models() -> list[tuple[str, str, str, str]]:
-    rows = []
-    for line in fixed.BRAND_MODELS.strip().split("\n"):
-        raw_brand, raw_models, brand, model = line.split("|")
-        rows += [(raw_brand.lower(), m.lower(), brand, model) for m in raw_models.split(",")]
+    rows = [(raw_brand.lower(), raw_model.lower(), brand, model) for raw_brand, raw_model, brand, model in fixed.BRAND_MODELS]
     places: dict[tuple[str, str], tuple[str, str]] = {}
     for rb, rm, b, m in rows:  # a later line overwrites the value and keeps the place
         places[rb, rm] = (b, m)
@@ -42,7 +39,7 @@ def header_rules(spark: SparkSession, learned: DataFrame | None = None) -> DataF
     tail = [("contains", a.lower(), f) for f, aliases in fixed.HEADER_ALIASES for a in aliases]
     registry: dict[str, str] = {}
     for _, _, name, _, aliases in fixed.FIELDS:
-        registry |= {a.lower(): name for a in aliases.split(" ")}
+        registry |= {a.lower(): name for a in aliases}
     tail += [("contains", a, f) for a, f in registry.items()]
     schema = "prio long, kind string, pattern string, field string"
     first = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], schema)
