@@ -40,8 +40,9 @@ def quoted(x: Column) -> Column:
 
 
 def has_word(x: Column, word: Column) -> Column:
-    """Whether ``word`` stands in ``x`` as a whole word; the pattern is a column, so use it on distinct keys."""
-    return F.rlike(x, F.concat(F.lit(LEFT), quoted(word), F.lit(RIGHT)))
+    """Whether ``word`` stands in ``x`` as a whole word. The pattern is a column, which is compiled for each row, so only texts
+    that contain the word get that far."""
+    return x.contains(word) & F.rlike(x, F.concat(F.lit(LEFT), quoted(word), F.lit(RIGHT)))
 
 
 def any_of(words) -> str:
@@ -49,10 +50,6 @@ def any_of(words) -> str:
     return "|".join(re.sub(r"([\\.\[\]{}()*+?^$|])", r"\\\1", w) for w in words)
 
 
-def has_any(x: Column, words) -> Column:
-    return F.coalesce(x.rlike(any_of(words)), F.lit(False))
-
-
 def clean_noise(x: Column) -> Column:
     """Without price-table words, trade terms, file suffixes, emission standards and model years."""
     return F.btrim(F.regexp_replace(x, "(?iuU)" + fixed.NOISE_WORDS, ""), F.lit(" _-.\n\r"))

@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once into the folder that ``spark.checkpoint.dir`` names (a local one only where none is set) and read it
-    back, so that what follows plans from a table and survives the loss of an executor."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A new path below the folder that ``spark.checkpoint.dir`` names. Only a local session, whose executors share the driver's
+    disk, may leave that unset: it gets a temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="tallyforge-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/tallyforge-{label}-{uuid.uuid4().hex}"
+    return f"{folder.rstrip('/')}/tallyforge-{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once into the shared folder and read it back, so that what follows plans from a table and survives the loss of
+    an executor."""
+    path = shared_folder(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

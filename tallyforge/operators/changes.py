@@ -35,9 +35,9 @@ def harvest(baseline: DataFrame, current: DataFrame, approved: Column, key: str
     return changes.withColumn("rule_distilled", F.col("new_value").isNotNull())
 
 
-def harvest_counts(current: DataFrame, approved: Column) -> DataFrame:
+def harvest_counts(current: DataFrame, approved: Column, by: list[str] = ()) -> DataFrame:
     """Scanned, approved, skipped."""
-    return current.agg(F.count("*").alias("scanned"), F.count_if(approved).alias("approved"), F.count_if(~approved).alias("skipped"))
+    return current.groupBy(*by).agg(F.count("*").alias("scanned"), F.count_if(approved).alias("approved"), F.count_if(~approved).alias("skipped"))
 
 
 def changes_by_record(changes: DataFrame, key: str = "record_id") -> DataFrame:

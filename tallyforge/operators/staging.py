@@ -5,28 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..materialize import written
 from ..registry import EDITABLE, registry_schema
 
 
 def with_ids(rows: DataFrame, start: int, order: list[str] | None = None) -> DataFrame:
-    """Rows with consecutive ids after ``start``. Rows are ranked inside hash buckets and buckets are offset by their
-    counts, so no window spans the table. With ``order`` ids follow it within a range-partitioned order."""
-    if order:
-        ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    else:
-        ranged = rows
-    parts = ranged.withColumn("_part", F.spark_partition_id()).withColumn("_seq", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    """Rows with consecutive ids after ``start``, in the order of ``order`` if given.
+
+    Rows are tagged with their partition and place and written once, so that counts and rows agree; partitions are then offset
+    by the counts before them. No window spans the table; with ``order`` the partitions are ranges of it.
+    """
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order) if order else rows
+    tagged = ranged.withColumn("_part", F.spark_partition_id()).withColumn("_seq", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    parts = written(tagged, "numbered")
     counts = parts.groupBy("_part").count()
-    offsets = counts.select("_part", (F.sum("count").over(Window.orderBy("_part")) - F.col("count")).alias("_before"))
+    offsets = counts.select("_part", (F.sum("count").over(Window.orderBy("_part")) - F.col("count")).alias("_before"))  # one row for each partition
     return parts.join(F.broadcast(offsets), "_part").withColumn("id", (F.col("_before") + F.col("_seq") + start + 1).cast("long")).drop("_part", "_seq", "_before")
 
 
-def stage(candidates: DataFrame, start: int, created_at: Column) -> DataFrame:
+def stage(candidates: DataFrame, start: int, created_at: Column, order: list[str] | None = None) -> DataFrame:
     """G1: the registry's columns with id, status 'pending', source_file, content_hash, created_at."""
     fields = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in candidates.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in registry_schema()]
     extra = [F.col(c) if c in candidates.columns else F.lit(None).cast("string").alias(c) for c in ("source_file", "content_hash")]
-    rows = candidates.select(*fields, F.lit("pending").alias("status"), *extra, created_at.alias("created_at"))
-    return with_ids(rows, start).select("id", *[c for c in rows.columns])
+    ranks = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order or ())]
+    rows = candidates.select(*fields, F.lit("pending").alias("status"), *extra, created_at.alias("created_at"), *ranks)
+    return with_ids(rows, start, [f"_o{i}" for i in range(len(ranks))]).select("id", *[c for c in rows.columns if not c.startswith("_o")])
 
 
 PENDING = ("id", "supplier", "brand", "model", "variant", "exterior_color", "interior_color", "supplier_price_cny", "cost_exw_usd", "cost_fob_usd", "location", "status", "source_file")

@@ -88,8 +88,9 @@ def write_by_source(rows: DataFrame, path: str, source: str = "source_file") ->
 
 
 def read_json_array(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A file that holds one JSON array of candidates, or JSON lines."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    """Candidates from files that hold one JSON array each, or JSON lines; the first written line tells which."""
+    first = spark.read.text(path).where(F.trim("value") != "").select(F.ltrim("value").startswith("[")).first()
+    return spark.read.schema(schema).option("multiLine", bool(first and first[0])).json(path)
 
 
 def templates(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
