@@ -60,18 +60,23 @@ def upsert_rules(rules: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def apply_overrides(rows: DataFrame, rules: DataFrame, fields: list[str]) -> DataFrame:
-    """Learned overrides applied: a field whose trimmed value equals a rule's pattern takes the rule's target."""
+    """Learned overrides applied: a field whose trimmed value equals a rule's pattern takes the rule's target. Fields without a
+    rule cost nothing; a blank pattern never applies, or every missing value would take its target."""
+    used = rules.where((F.col("type") == "field_override") & (F.col("raw_pattern") != "") & F.col("field").isin(*fields))
+    named = {r[0] for r in used.select("field").distinct().collect()}  # at most the fields
     out = rows
-    for f in fields:
-        r = rules.where((F.col("type") == "field_override") & (F.col("field") == f)).select(F.col("raw_pattern").alias("_p"), F.col("target_value").alias("_t"))
+    for f in [f for f in fields if f in named]:
+        r = used.where(F.col("field") == f).groupBy(F.col("raw_pattern").alias("_p")).agg(F.max_by("target_value", "ord").alias("_t"))
         kind = dict(rows.dtypes)[f]
-        out = out.join(r, strip(F.coalesce(F.col(f).cast("string"), F.lit(""))) == F.col("_p"), "left").withColumn(f, F.coalesce(F.col("_t").try_cast(kind), F.col(f))).drop("_p", "_t")
+        out = out.join(r, strip(F.col(f).cast("string")) == F.col("_p"), "left").withColumn(f, F.coalesce(F.col("_t").try_cast(kind), F.col(f))).drop("_p", "_t")
     return out
 
 
-def telemetry(runs: DataFrame) -> DataFrame:
-    """Totals and shares over run metrics (deterministic, ai); 100 % and 0 % without any."""
+def telemetry(runs: DataFrame, rules: DataFrame | None = None) -> DataFrame:
+    """Totals and shares over run metrics (deterministic, ai); 100 % and 0 % without any. With ``rules`` also their number."""
     t = runs.agg(F.count("*").alias("total_runs"), F.coalesce(F.sum("deterministic"), F.lit(0)).cast("long").alias("deterministic_hits"), F.coalesce(F.sum("ai"), F.lit(0)).cast("long").alias("ai_fallbacks"))
     total = F.col("deterministic_hits") + F.col("ai_fallbacks")
     share = lambda c, none: F.when(total == 0, F.lit(none)).otherwise(F.round(F.col(c) / total * 100.0, 1))
+    if rules is not None:
+        t = t.crossJoin(F.broadcast(rules.agg(F.count("*").alias("learned_rules"))))  # one row each
     return t.select("*", total.alias("total"), share("deterministic_hits", 100.0).alias("deterministic_pct"), share("ai_fallbacks", 0.0).alias("ai_pct"))

@@ -14,7 +14,7 @@ from ..sources import files, records
 from ..streaming import jobs as streams
 from .offers import KEY
 from .offers import SQL as OFFERS_SQL
-from .queries import K, offers, query, table, values
+from .queries import K, NUM, USD, candidates_full, offers, query, table, values
 
 _STRIP = lambda x: f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
 
@@ -417,7 +417,7 @@ def stream_ingest(spark, sf_dir):
     once = e.repartition("s", "t").sortWithinPartitions("s", "t", "line")
     once.write.partitionBy("s", "t").csv(f"{root}/a")
     once.where("s = 1").write.partitionBy("s", "t").csv(f"{root}/b")
-    lines = lambda b: b.select(F.regexp_extract("path", "/s=(\\d+)/", 1).alias("s"), F.explode(F.split(F.decode("content", F.lit("UTF-8")), "\n")).alias("line")).where("line <> ''")
+    lines = lambda b: b.select(F.regexp_extract("path", "/s=(\\d+)/", 1).alias("s"), F.explode(F.split(F.decode("content", "UTF-8"), "\n")).alias("line")).where("line <> ''")
     write = streams.stage_then_ledger(lines, f"{root}-staged", f"{root}-ledger")
     streams.run_available(streams.once_by_content(streams.new_files(spark, root, 7)), f"{root}-checkpoint", write).awaitTermination()
     staged = spark.read.option("basePath", f"{root}-staged").parquet(f"{root}-staged/batch=*")
@@ -442,3 +442,32 @@ def json_walk(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_id", k.alias("k"))
     nested = F.expr(_NESTED.replace("{{", "{").replace("}}", "}").replace("VARCHAR(9)", "STRING"))
     return e.select("event_id", state.json_confidence(F.when(F.expr("event_id % 5 = 4"), F.lit('{"scores":1,"a":["confidence"]}')).otherwise(nested)).alias("confidence"))
+
+
+# ---- the whole normalisation
+
+_PART = r"^(\d+)\s*([\x{4e00}-\x{9fa5}A-Za-z]+)(?:/([\x{4e00}-\x{9fa5}A-Za-z]+))?$"
+_BRAND = "CASE raw_brand WHEN '比亚迪' THEN 'BYD' WHEN 'BYD' THEN 'BYD' WHEN '吉利' THEN 'Geely' WHEN '极氪' THEN 'Zeekr' WHEN '小米' THEN 'Xiaomi' WHEN '方程豹' THEN 'Fangchengbao' WHEN '五菱' THEN 'Wuling' WHEN '零跑' THEN 'Leapmotor' WHEN '广汽埃安' THEN 'GAC' WHEN '问界' THEN 'AITO' END"
+_MODEL = "CASE raw_model WHEN '海豚' THEN 'Dolphin' WHEN '银河 E5' THEN 'Galaxy E5' WHEN '豹5' THEN 'Leopard 5' WHEN 'LZW6470X' THEN 'Starlight S' ELSE nullif(raw_model, '') END"
+_TERM = "upper(regexp_extract(location_text, '(?i)(FCA|FOB|EXW)', 1))"
+
+#: The offers have a brand, a model, an EXW price text, a place, a colour, a waiting time and a quantity; see ``candidates_full``.
+CANDIDATES = f"""WITH {OFFERS_SQL}, r AS (SELECT {K}, supplier, qty, colour_text, wait_text, location_text, {_BRAND} AS brand, {_MODEL} AS model, {NUM('price_text')} AS p, price_text FROM offers),
+ k AS (SELECT * FROM r WHERE brand IS NOT NULL AND model IS NOT NULL),
+ ids AS (SELECT brand, model, 'MDL-' || lpad(i, greatest(length(i), 3)::INT, '0') AS model_id FROM (SELECT brand, model, CAST(64 + row_number() OVER (ORDER BY o) AS VARCHAR) AS i FROM (SELECT brand, model, min(({K})) AS o FROM k GROUP BY brand, model))),
+ c AS (SELECT *, CASE WHEN p IS NULL THEN FALSE WHEN regexp_matches(price_text, '(?i)人民币|RMB|CNY|¥|￥') THEN TRUE WHEN regexp_matches(price_text, '(?i)美金|美元|USD|[$]') THEN FALSE ELSE p >= 35000 END AS cny FROM k),
+ u AS (SELECT *, CASE WHEN cny THEN {USD('p')} ELSE p END AS usd, CASE WHEN cny THEN p END AS guide, {_TERM} AS term,
+   CASE location_text WHEN 'FCA南沙港' THEN '南沙' WHEN '广州南沙' THEN '南沙' WHEN 'FOB上海' THEN '上海' WHEN '霍尔果斯综合保税区' THEN '霍尔果斯' END AS place,
+   CASE colour_text WHEN '110白' THEN '白' WHEN '白/黑' THEN '白' WHEN '/' THEN NULL ELSE colour_text END AS e, CASE colour_text WHEN '白/黑' THEN '黑' END AS inner_ FROM c),
+ b AS (SELECT *, CASE WHEN usd >= 1000 AND usd < 200000 THEN usd END AS price FROM u),
+ s AS (SELECT *, coalesce(regexp_matches(e, '[+;；、]'), FALSE) AS many, CASE WHEN regexp_matches(e, '[+;；、]') THEN string_split_regex(e, '[+；;、]') ELSE [e] END AS parts FROM b),
+ x AS (SELECT * EXCLUDE (parts), unnest(parts) AS part, generate_subscripts(parts, 1) AS split_no FROM s),
+ f AS (SELECT {K}, split_no, supplier, brand, model, place, guide, wait_text, CASE WHEN term NOT IN ('FCA', 'FOB') THEN price END AS exw, CASE WHEN term = 'FCA' THEN price END AS fca, CASE WHEN term = 'FOB' THEN price END AS fob,
+   CASE WHEN many AND regexp_matches(part, '{_PART}') THEN CAST(regexp_extract(part, '{_PART}', 1) AS BIGINT) ELSE qty END AS stock, CASE WHEN many AND regexp_matches(part, '{_PART}') THEN regexp_extract(part, '{_PART}', 2) ELSE part END AS ext,
+   CASE WHEN many AND regexp_matches(part, '{_PART}') THEN nullif(regexp_extract(part, '{_PART}', 3), '') ELSE inner_ END AS int_ FROM x),
+ once AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY supplier, brand, model, coalesce(ext, ''), coalesce(int_, ''), stock, guide, exw, fob, fca, coalesce(place, '') ORDER BY {K}, split_no) = 1),
+ bare AS (SELECT *, coalesce(guide, exw, fob, fca) IS NULL AND ext IS NULL AS is_bare FROM once),
+ folded AS (SELECT * FROM bare QUALIFY NOT is_bare OR row_number() OVER (PARTITION BY is_bare, supplier, brand, model ORDER BY {K}, split_no) = 1)
+ SELECT brand, model, model_id, CASE WHEN wait_text = '现车' THEN '现车' WHEN wait_text = '' THEN '无具体信息' ELSE '在途' END AS status_vehicle, place AS location, count(*) AS n, CAST(sum(stock) AS BIGINT) AS stock, CAST(sum(exw) AS BIGINT) AS exw
+ FROM folded JOIN ids USING (brand, model) GROUP BY ALL"""
+query(CANDIDATES)(candidates_full)
