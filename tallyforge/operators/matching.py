@@ -14,6 +14,11 @@ from ..functions.text import compact_key, has_word, or_null, strip
 BROADCAST_RULES = 10_000
 
 
+def _sized(rules: DataFrame) -> DataFrame:
+    """Marked for broadcast, if it has at most ``BROADCAST_RULES`` rows."""
+    return F.broadcast(rules) if rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES else rules
+
+
 def first_match_join(df: DataFrame, keys: list[str], rules: DataFrame, matches: Callable[[], Column], outputs: list[str], prio: str = "prio") -> DataFrame:
     """``df`` with the outputs of the first rule (lowest prio) that matches, null where none does.
 
@@ -21,8 +26,7 @@ def first_match_join(df: DataFrame, keys: list[str], rules: DataFrame, matches:
     aggregate finds the lowest prio, and equality joins bring the outputs back, so long tables see no theta join. Rule
     columns must not be named like the keys. Null keys match what the condition says for null.
     """
-    if rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES:
-        rules = F.broadcast(rules)
+    rules = _sized(rules)
     distinct = df.select(*keys).distinct()
     won = distinct.join(rules, matches()).groupBy(*keys).agg(F.min(prio).alias("_prio"))
     named = won.join(rules.select(F.col(prio).alias("_prio"), *outputs), "_prio").drop("_prio")
@@ -36,7 +40,7 @@ def first_match_join(df: DataFrame, keys: list[str], rules: DataFrame, matches:
 def first_match_on_keys(keys: DataFrame, rules: DataFrame, matches: Callable[[], Column], outputs: list[str], prio: str = "prio") -> DataFrame:
     """J12 for a table of distinct keys: it meets the rules as it is, so a chain of lookups stays one linear plan."""
     found = F.min(F.struct(prio, *outputs)).alias("_won")
-    won = keys.join(F.broadcast(rules), matches(), "left").groupBy(*keys.columns).agg(found)
+    won = keys.join(_sized(rules), matches(), "left").groupBy(*keys.columns).agg(found)
     return won.select(*keys.columns, *[F.col(f"_won.{o}").alias(o) for o in outputs])
 
 

@@ -74,11 +74,11 @@ def date_normalise(spark, sf_dir):
 _YM = r"(20\d{2})[年./-](\d{1,2})"
 
 
-@query(f"""SELECT o_orderkey, TRY_CAST(regexp_extract(t, '{_YM}', 1) AS BIGINT) AS year, TRY_CAST(regexp_extract(t, '{_YM}', 2) AS BIGINT) AS month
- FROM (SELECT o_orderkey, {_ORDER_DATE} AS t FROM orders WHERE o_orderkey % 4 <> 3)""")
+@query(f"""SELECT o_orderkey, coalesce(TRY_CAST(regexp_extract(t, '{_YM}', 1) AS BIGINT), TRY_CAST(regexp_extract(t, '(20\\d{{2}})', 1) AS BIGINT)) AS year, TRY_CAST(regexp_extract(t, '{_YM}', 2) AS BIGINT) AS month
+ FROM (SELECT o_orderkey, {_ORDER_DATE} AS t FROM orders)""")
 def year_month(spark, sf_dir):
     """C4"""
-    t = table(spark, sf_dir, "orders").where("o_orderkey % 4 <> 3").select("o_orderkey", F.expr(_ORDER_DATE).alias("t"))
+    t = table(spark, sf_dir, "orders").select("o_orderkey", F.expr(_ORDER_DATE).alias("t"))
     none = F.lit(None).cast("string")
     made = dates.manufacture_year_month([none], [none], [F.col("t")])
     return t.select("o_orderkey", made["year"].alias("year"), made["month"].alias("month"))
@@ -519,10 +519,10 @@ def header_detect(spark, sf_dir):
     return rows.groupBy("supplier", "brand").agg(F.count("*").alias("n"), F.sum(numbers.to_number(F.col("stockQuantity"))).alias("qty"))
 
 
-@query(f"""WITH {OFFERS_SQL} SELECT supplier, raw_brand AS brand, raw_model AS model, '南沙' AS location, count(*) AS n FROM offers WHERE raw_model <> '' GROUP BY ALL""")
+@query(f"""WITH {OFFERS_SQL} SELECT supplier, raw_brand AS brand, coalesce(nullif(raw_model, ''), 'x.xlsx') AS model, '南沙' AS location, count(*) AS n FROM offers GROUP BY ALL""")
 def path_meta(spark, sf_dir):
-    """Folders of offers"""
-    p = offers(spark, sf_dir).where("raw_model <> ''").select(F.concat_ws("/", F.lit("/data/input"), "supplier", F.lit("FCA 南沙"), "raw_brand", "raw_model", F.lit("x.xlsx")).alias("p"))
+    """Folders of offers; without a model folder the file name takes its place"""
+    p = offers(spark, sf_dir).select(F.concat_ws("/", F.lit("/data/input"), "supplier", F.lit("FCA 南沙"), "raw_brand", "raw_model", F.lit("x.xlsx")).alias("p"))
     m = p.select(location.path_metadata(F.col("p")).alias("m")).select("m.*")
     return m.groupBy("supplier", "brand", "model", "location").agg(F.count("*").alias("n"))
 
