@@ -55,7 +55,7 @@ def header_rows(cells: DataFrame, rules: DataFrame, first: int = 10) -> DataFram
     top = map_headers(cells.where(F.col("row_no") <= first), "value", rules)
     number = F.when(F.col("kind") == "n", F.col("value").try_cast("double") > 1000) if "kind" in cells.columns else F.lit(None).cast("boolean")
     price = F.coalesce(number, F.col("value").rlike(r"\d{5,6}"))
-    remark = F.col("value").rlike("以上报价|注：|注:|说明：|温馨提示")
+    remark = F.col("value").rlike(fixed.HEADER_REMARK)
     flags = top.groupBy(*SHEET, "row_no").agg(F.max(F.coalesce(price, F.lit(False))).alias("p"), F.max(F.coalesce(remark, F.lit(False))).alias("n"), F.max(F.coalesce(F.col("field").isin(*fixed.PRIMARY_FIELDS), F.lit(False))).alias("h"))
     return flags.where("h and not p and not n").select(*SHEET, "row_no")
 
@@ -74,7 +74,7 @@ def header_map(cells: DataFrame, rules: DataFrame) -> DataFrame:
 def data_rows(texts: DataFrame) -> DataFrame:
     """Rows that are neither blank nor remarks nor sums."""
     t = F.col("text")
-    return texts.where((t != "") & ~t.rlike("^(以上|注：|注:|说明)") & ~F.lower(t).rlike(any_of(fixed.SUMMARY_WORDS)))
+    return texts.where((t != "") & ~t.rlike(fixed.ROW_REMARK) & ~F.lower(t).rlike(any_of(fixed.SUMMARY_WORDS)))
 
 
 def pivot_rows(cells: DataFrame, headers: DataFrame) -> DataFrame:
@@ -130,19 +130,19 @@ def carry_forward(value: Column, order: list[str], by: list[str] = SHEET) -> Col
 def text_rows(texts: DataFrame) -> DataFrame:
     """Listings in running text (path, sheet, row_no, text): model, trim and place are carried down, a row with a price
     and a known model is a listing."""
-    t = texts.withColumn("text", strip(F.col("text"))).where(~F.col("text").rlike("行号|源文件|转换方式") & (F.col("text") != ""))
+    t = texts.withColumn("text", strip(F.col("text"))).where(~F.col("text").rlike(fixed.TEXT_CONVERSION) & (F.col("text") != ""))
     t = t.withColumn("text", F.regexp_replace("text", r"(\d),(\d{3})", "$1$2")).withColumn("_meta", path_metadata(F.col("path")))
     get = lambda p, i=1: F.regexp_extract("text", p, i)
     given = lambda x: F.when(x != "", x)
-    smart, l6 = r"(?iU)(Smart\s*#?\d+)\s*([A-Za-z0-9+\s]*)", r"(?iU)(智己\s*L6|L6)\s*([A-Za-z0-9+\s]*\+?)"
+    smart, l6 = fixed.TEXT_SMART, fixed.TEXT_L6
     is_smart, is_l6 = F.col("text").rlike(smart), F.col("text").rlike(l6)
-    own_trim = given(strip(get(r"(?U)(\d{3,4}\s*[\x{4e00}-\x{9fa5}A-Za-z0-9]+)")))
+    own_trim = given(strip(get(fixed.TEXT_TRIM)))
     trim = F.when(is_smart, F.struct(given(strip(get(smart, 2))).alias("t"))).when(is_l6, F.struct(F.when(get(l6).contains("MAX"), strip(get(l6))).otherwise(given(strip(get(l6, 2)))).alias("t"))).when(own_trim.isNotNull(), F.struct(own_trim.alias("t")))
-    usd = F.coalesce(given(get(r"(?U)\$\s*(\d{4,6})")), given(get(r"(?iU)(\d{4,6})\s*(?:EXW|FOB|FCA|USD)")), given(get(r"(?iU)(?:EXW|FOB|FCA)\s*(?:[^\d]*)\s*(\d{4,6})")))
+    usd = F.coalesce(given(get(fixed.TEXT_USD_FRONT)), given(get(fixed.TEXT_USD_BEHIND)), given(get(fixed.TEXT_USD_TERM)))
     t = t.select(
         *SHEET, "row_no", "text", "_meta",
-        F.when(is_smart, strip(get(smart))).when(is_l6, F.lit("L6")).alias("m"), trim.alias("t"), given(get(r"(?i)(?:EXW|FOB|FCA)\s*([\x{4e00}-\x{9fa5}]{2,6})")).alias("l"),
-        given(get(r"(?iuU)(?:指导价|售价|RMB|¥)\s*(\d{5,6})")).try_cast("long").alias("cny"), usd.try_cast("long").alias("usd"),
+        F.when(is_smart, strip(get(smart))).when(is_l6, F.lit("L6")).alias("m"), trim.alias("t"), given(get(fixed.TEXT_PLACE)).alias("l"),
+        given(get(fixed.TEXT_CNY)).try_cast("long").alias("cny"), usd.try_cast("long").alias("usd"),
     )
     t = t.withColumn("model", F.coalesce(carry_forward(F.col("m"), ["row_no"]), "_meta.model")).withColumn("variant", carry_forward(F.col("t"), ["row_no"])["t"])
     t = t.withColumn("location", F.coalesce(carry_forward(F.col("l"), ["row_no"]), "_meta.location"))
