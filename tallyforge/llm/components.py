@@ -40,22 +40,25 @@ def _contract(batches):
 
 
 #: Neighbours from which a node is a hub.
-HUB = 256
+HUB = 1000
 
 
-def _with_low(edges: DataFrame, low: DataFrame) -> DataFrame:
-    """Edges (u, v) with m, the smallest neighbour of u. Hubs' edges meet it by a broadcast of the hubs' rows (of which there
-    are at most edges / ``HUB``; beyond ``BROADCAST_ROWS`` they are joined like others, and Spark splits such partitions),
-    so the shuffle deals only small groups."""
-    low = staged(low, "smallest")
-    hubs = low.where(F.col("n") > HUB).select(F.col("u").alias("hub"), F.col("m").alias("hub_m"))
-    low = low.select("u", "m")
+def _large_star(e: DataFrame) -> DataFrame:
+    """(u, v): every larger neighbour of a node linked to the node's smallest one (the node itself counts as one).
+
+    Hubs, of which there are at most edges / ``HUB``, are told apart and sent to every task, so that their edges are not
+    dealt by hub; if they are too many for that, they are joined like others and Spark splits such partitions.
+    """
+    both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    smallest = lambda x: x.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    star = lambda x: x.select(F.col("v").alias("u"), F.col("m").alias("v"))
+    hubs = staged(e.groupBy("v").count().where(F.col("count") > HUB).select(F.col("v").alias("u")), "hubs")
     if not 0 < hubs.count() <= BROADCAST_ROWS:
-        return edges.join(low, "u")
-    marked = edges.join(F.broadcast(hubs), F.col("u") == F.col("hub"), "left")
-    key = F.when(F.col("hub").isNull(), F.col("u")).otherwise(F.xxhash64("v"))  # hubs' edges are spread, their match is not read
-    near = low.select(F.col("u").alias("key"), "m")
-    return marked.withColumn("key", key).join(near, "key", "left").select("u", "v", F.coalesce("hub_m", "m").alias("m"))
+        return star(both.where("v > u").join(smallest(both), "u"))
+    hub = F.broadcast(hubs)
+    of_hubs = both.where("v > u").join(F.broadcast(smallest(both.join(hub, "u", "left_semi"))), "u")
+    rest = both.join(hub, "u", "left_anti")
+    return star(of_hubs).unionByName(star(rest.where("v > u").join(smallest(rest), "u")))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -69,16 +72,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     e = edges.select(F.greatest(u, v).cast("long").alias("u"), F.least(u, v).cast("long").alias("v")).where("u > v")
     e = staged(e.mapInArrow(_contract, "u long, v long"), "links")
     while True:
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
-        large = _with_low(both.where("v > u"), low).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
-        large = staged(large, "links")
+        large = _large_star(e)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(low.withColumnRenamed("m", "v")).where("u > v").distinct()
         new = staged(small, "links")
         drop_staged(e)
-        drop_staged(large)
         e = new
         if e.join(e.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count() == 0:
             return e.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BROADCAST_ROWS, drop_staged, fresh, staged, text_bytes
+from .shared import BROADCAST_ROWS, drop_staged, each_text, fresh, staged, text_bytes
 
 WINDOW = 10
 #: Words of passages that one suffix array covers.
@@ -34,7 +34,7 @@ def count_words(text: Column) -> Column:
     """How many words ``bench_words`` finds; 0 for null. (A count by a pattern in the engine takes five times as long.)"""
 
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array([len(bench_words(t)) for t in text_bytes(texts)], pa.int64())
+        return pa.array([len(bench_words(t)) for t in each_text(texts)], pa.int64())
 
     return F.arrow_udf(run, "long")(text)
 
@@ -218,7 +218,7 @@ def _found_passages(shared):
         test = shared.value
         for batch in batches:
             rows: tuple[list, list, list] = [], [], []
-            for i, text in enumerate(text_bytes(batch.column(2))):
+            for i, text in enumerate(each_text(batch.column(2))):
                 words = bench_words(text)
                 for a, b in test.passages(words):
                     for column, x in zip(rows, (i, a, b" ".join(words[a:b]))):

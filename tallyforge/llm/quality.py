@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import held_out, staged, text_bytes
+from .shared import each_text, held_out, staged
 from .textstats import SHAPE_NAMES, shape
 
 SHRINKAGE = 0.02
@@ -42,7 +42,7 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def run(batches):
         for batch in batches:
-            x = np.array([shape(t) for t in text_bytes(batch.column(1))]).reshape(batch.num_rows, -1)
+            x = np.array([shape(t) for t in each_text(batch.column(1))]).reshape(batch.num_rows, -1)
             flat = pa.array(x.ravel(), pa.float64())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * len(SHAPE_NAMES), pa.int32()), flat)
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["id", "x"])

@@ -69,6 +69,15 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def each_text(column: pa.Array, at_once: int = 256):
+    """The texts of ``text_bytes`` one by one, so that a task never holds a whole batch of them as Python objects beside the
+    batch itself. What Arrow has set aside goes back to the system after each batch."""
+    plain = column.cast(pa.binary())
+    for lo in range(0, len(plain), at_once):
+        yield from (x or b"" for x in plain.slice(lo, at_once).to_pylist())
+    pa.default_memory_pool().release_unused()
+
+
 def lower_words(text: bytes) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z only: bytes.lower and bytes.split do just that."""
     return text.lower().split()

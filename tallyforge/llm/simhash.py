@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components, spanning_stars
-from .shared import for_join, group_bounds, lower_words, staged, text_bytes, whole_groups
+from .shared import each_text, for_join, group_bounds, lower_words, staged, whole_groups
 
 BITS = 64
 #: Members of one bucket that a single task compares; a larger bucket is cut into pairs of blocks of this size.
@@ -57,8 +57,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches):
         for batch in batches:
-            texts = text_bytes(batch.column(1))
-            fps = [np.array([simhash(t, shingle, s) for t in texts], np.uint64).view(np.int64) for s in seeds]
+            fps = np.array([[simhash(t, shingle, s) for s in seeds] for t in each_text(batch.column(1))], np.uint64).reshape(-1, len(seeds)).view(np.int64).T
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, fps)], ["id", *names])
 
     kind = dict(docs.dtypes)[id_col]

@@ -13,7 +13,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import held_out, staged, text_bytes
+from .shared import each_text, held_out, staged, text_bytes
 
 FOLDS = 5
 #: At most so many labelled rows are used to fit, chosen by a seeded hash.
@@ -139,9 +139,8 @@ def dense_features(docs: DataFrame, lexicon: Lexicon, with_label: bool = False)
 
     def run(batches):
         for batch in batches:
-            texts = text_bytes(batch.column(batch.num_columns - 1))
-            owns = batch.column(1).to_pylist() if with_label else [None] * len(texts)
-            x = pa.array([features(t, shared.value, y) for t, y in zip(texts, owns)], pa.list_(pa.float64()))
+            owns = batch.column(1).to_pylist() if with_label else [None] * batch.num_rows
+            x = pa.array([features(t, shared.value, y) for t, y in zip(each_text(batch.column(batch.num_columns - 1)), owns)], pa.list_(pa.float64()))
             names = ["id", "y", "x"] if with_label else ["id", "x"]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], x], names)
 

@@ -1,6 +1,5 @@
 """Each operator against a brute-force version or a planted case, and on odd tables."""
 
-import hashlib
 import math
 import random
 import re
@@ -95,6 +94,19 @@ def test_simhash_query(docs):
     assert {c for _, c in got[None]} == {None} and fp[77] == fp[78] == 0
 
 
+def test_fingerprints_by_brute_force(spark, docs):
+    """Written from the definition: strings, one shingle and one bit at a time."""
+    import xxhash
+
+    got = {(r.doc_id, r.text): r.fp for r in docs.select("doc_id", "text").join(simhash.fingerprints(docs).select(F.col("id").alias("doc_id"), F.col("fp0").alias("fp")), "doc_id").distinct().collect()}
+    for (_, text), fp in got.items():
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+        shingles = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] if len(w) >= 3 else [" ".join(w)] if w else []
+        h = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+        want = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+        assert fp % (1 << 64) == want
+
+
 def test_simhash_empty(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
 
@@ -131,19 +143,34 @@ def test_copies_with_a_block_more_or_less_are_found(spark, words):
     assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 120, 2))
 
 
-def test_large_groups_are_cut_into_blocks(spark):
+def test_large_groups_lose_no_link(spark):
+    """Groups beyond a block: one star, several stars near and far from each other, chains, and texts of no star."""
     rng = random.Random(3)
-    base = prose(rng, 120).split()
-    rows = []
-    for i in range(60):
-        w = list(base)
-        w[i] = f"x{i}"
-        rows.append((i, " ".join(w), "en", "s", 1))
-    df = spark.createDataFrame(rows, DOCS)
-    groups = spark.createDataFrame([(i,) for i in range(60)], "node long").withColumn("component", F.lit(0).cast("long"))
-    groups = groups.join(df.select(F.col("doc_id").alias("node"), F.xxhash64("text").alias("h1")), "node")
-    links = dedup_stage.verified_links(df, groups, "doc_id", "text", block=7)
-    assert {r.component for r in connected_components(links).collect()} == {0} and connected_components(links).count() == 59
+
+    def varied(words, n):
+        w = list(words)
+        for i in rng.sample(range(len(w)), n):
+            w[i] = f"x{rng.randrange(10**6)}"
+        return w
+
+    base, other, rows = prose(rng, 120).split(), prose(rng, 120).split(), []
+    rows += [varied(base, rng.choice((0, 1, 1, 2, 3, 4))) for _ in range(50)]
+    rows += [base[:60] + other[60:], *[varied(other, 1) for _ in range(20)]]
+    step = base
+    for _ in range(15):  # a chain that drifts away from its start
+        step = varied(step, 2)
+        rows.append(step)
+    rows += [prose(rng, 30).split() for _ in range(4)]
+    texts = [" ".join(w) for w in rows]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], DOCS)
+    groups = df.select(F.col("doc_id").alias("node"), F.xxhash64("text").alias("h1"), F.lit(0).cast("long").alias("component"))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in rows]
+    near = [(a, b) for a in range(len(rows)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    want = union(len(rows), near)
+    for block in (7, 30, 400):
+        got = {r.node: r.component for r in connected_components(dedup_stage.verified_links(df, groups, "doc_id", "text", block=block)).collect()}
+        assert [got.get(i, i) for i in range(len(rows))] == want, block
+    assert len(set(want)) > 5 and max(Counter(want).values()) > 40
 
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -514,6 +541,31 @@ def test_quality(spark):
     assert {r.score for r in none} == {0.5} and quality.quality_scores(docs.limit(0), labels).count() == 0
 
 
+def test_quality_by_brute_force(spark):
+    """The discriminant fitted again from all rows in memory, by the textbook formulas."""
+    import zlib
+
+    docs, labels, truth = labelled(spark, lambda rng, y: prose(rng, 40) + (" WOW!!" * rng.randrange(9) if y else "."), 300)
+    rows = {r.id: r.x for r in quality.statistics(docs).where("id is not null").collect()}
+    used = [i for i in truth if zlib.crc32(str(i).encode()) % 5]
+    x = np.array([rows[i] for i in [*used, 0]])  # id 0 stands twice in the table
+    y = np.array([truth[i] for i in [*used, 0]])
+    if 0 not in used:
+        x, y = x[:-1], y[:-1]
+    centre, scale = x.mean(axis=0), x.std(axis=0)
+    scale[scale**2 <= 1e-9] = 1.0
+    z, logs = (x - centre) / scale, []
+    points = (np.array([rows[i] for i in rows]) - centre) / scale
+    for k in (0, 1):
+        c = np.cov(z[y == k].T)
+        c = (1 - quality.SHRINKAGE) * c + (quality.SHRINKAGE * np.trace(c) / len(c) + 1e-6) * np.eye(len(c))
+        d = points - z[y == k].mean(axis=0)
+        logs.append(np.log((y == k).mean()) - 0.5 * np.linalg.slogdet(c)[1] - 0.5 * np.einsum("ij,jk,ik->i", d, np.linalg.inv(c), d))
+    want = dict(zip(rows, 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -700, 700)))))
+    for r in quality.quality_scores(docs, labels).where("id is not null").collect():
+        assert math.isclose(r.score, want[r.id], rel_tol=1e-3, abs_tol=1e-4)
+
+
 def test_toxicity(spark):
     def make(rng, y):
         w = prose(rng, 60).split()
@@ -564,5 +616,19 @@ def test_pipeline(spark, tmp_path):
     assert all(abs(t - g) <= m for t, g, m in sizes.values())
 
 
-def test_digests():
-    assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+def test_pipeline_on_odd_rows(spark, docs, tmp_path):
+    """Null, empty, repeated and very long rows, an empty table, and columns with the stages' own words for names."""
+    import corpus_pipeline
+
+    spark.createDataFrame([(i, 1, 0) for i in range(0, 40)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(0, "x y z")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    names = ("cut", "whole", "_h1", "_id", "_h", "__h1", "key", "own", "pair", "h1", "component")
+    odd = docs.withColumns({c: F.lit("clash") for c in names})
+    for start in (odd, odd.limit(0)):
+        now = start
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            now = stage(spark, now, str(tmp_path))
+            assert now.columns == odd.columns, name
+            now = dedup_stage.staged(now, "odd")
+        mixed = corpus_pipeline.STAGES[-1][1](spark, now, str(tmp_path))
+        assert set(odd.columns) <= set(mixed.columns) and mixed.count() >= 0 and (mixed.count() == 0) == (start is not odd)
