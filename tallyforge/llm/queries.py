@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embeddings, licenses, lines, lm, mixing, quality, secrets, simhash, toxicity
+from . import decontaminate, embeddings, fim, licenses, lines, lm, mixing, quality, resample, secrets, simhash, toxicity, urls
 from .shared import held_out, read_table
 
 
@@ -80,6 +80,24 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = resample.importance_resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's label is the quality of the document of its number."""
+    quality_ = F.col("quality")
+    labels = read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.when(quality_ == 1, "allow").when(quality_ == 0, "block").alias("label"))
+    return urls.filter_urls(read_table(spark, sf_dir, "pages"), labels).withColumnRenamed("id", "page_id")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.transform(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    back = fim.restore(F.col("output"), F.col("form"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_toxicity": op2_toxicity,
@@ -91,6 +109,9 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_url_filter": op12_url_filter,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -100,4 +121,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_secret_scan": secrets.SQL,
     "op9_embedding_near_dedup": embeddings.SQL,
     "op10_benchmark_decontamination": decontaminate.SQL,
+    "op11_importance_resampling": resample.SQL,
+    "op13_fill_in_middle": fim.SQL,
 }
