@@ -312,7 +312,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     found = F.broadcast(found) if weight <= BROADCAST_ROWS else found
     joined = docs.withColumn(a, h1).withColumn(b, h2).join(found, (F.col(a) == F.col(c)) & (F.col(b) == F.col(d)), "left")
     none = F.from_json(F.lit("[]"), MATCH)
-    return joined.select(*plain, count_words(F.col(text_col)).alias("n_words"), F.coalesce(F.col(m), none).alias("matches"))
+    return joined.select(*[F.col(f"`{name}`") for name in plain], count_words(F.col(text_col)).alias("n_words"), F.coalesce(F.col(m), none).alias("matches"))
 
 
 def words_hit(matches: Column) -> Column:

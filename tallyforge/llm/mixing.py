@@ -104,7 +104,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     h, size, src, whole, cut, quota, equal, goal, all_, salt, nth, h2, s2, p2, share = fresh(docs, "h", "size", "src", "whole", "cut", "quota", "equal", "goal", "all", "salt", "nth", "h2", "s2", "p2", "share")
     plan = plan.select(*[F.col(a).alias(b) for a, b in (("source", src), ("source_size", all_), ("target", goal), ("whole", whole), ("cut", cut), ("quota", quota), ("equal", equal))])
     split = plan.where(F.col(quota) < F.col(equal)).limit(1).count() > 0
-    out = docs.select(*kept).withColumn(size, word_count(F.col(text_col))).withColumn(h, order)
+    out = docs.select(*[F.col(f"`{c}`") for c in kept]).withColumn(size, word_count(F.col(text_col))).withColumn(h, order)
     out = out.join(F.broadcast(plan) if plan.count() <= BROADCAST_ROWS else plan, F.col(source_col).eqNullSafe(F.col(src)))
     first = F.col(h) <= F.col(cut)
     if split:  # some of several equal rows: shares of the quota by where the rows were written, then by number there
@@ -122,7 +122,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     done = None
     for part, again in parts:
         copies = (F.col(whole) + F.when(again & (F.col(whole) < F.lit(float(max_epochs))), 1).otherwise(0)).cast("long")
-        part = part.select(*[F.col(f"`{c}`") for c in kept if c not in results], *[part[c] for c in kept if c in results], F.col(size).alias("size"), F.col(all_).alias("source_size"), F.col(goal).alias("target"), copies.alias("copies"), (copies * F.col(size)).alias("taken"))
+        part = part.select(*[F.col(f"`{c}`") for c in kept if c not in results], *[F.col(f"`{c}`") for c in kept if c in results], F.col(size).alias("size"), F.col(all_).alias("source_size"), F.col(goal).alias("target"), copies.alias("copies"), (copies * F.col(size)).alias("taken"))
         done = part if done is None else done.unionByName(part)
     return done
 

@@ -34,9 +34,11 @@ RULES = (
     Rule("hex", 1, r"[0-9a-f]{16,}"),
     Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----", hints=("PRIVATE KEY-----",)),
     Rule("github", 1, r"gh[opsur]_[A-Za-z0-9]{36,}", hints=("gho_", "ghp_", "ghs_", "ghu_", "ghr_")),
-    # bounded parts, so that the work on a text grows with its length whatever it holds
-    Rule("jwt", 2, r"eyJ[A-Za-z0-9_-]{8,900}\.eyJ[A-Za-z0-9_-]{8,900}\.[A-Za-z0-9_-]{8,900}", hints=("eyJ",)),
-    Rule("url", 2, r"[A-Za-z][A-Za-z0-9+.-]{0,20}://[^\s:@/]{1,200}:[^\s:@/]{1,200}@", hints=("://",)),
+    # a run of token characters is consumed once, and dropped where no two parts of the right form follow, so that the work on
+    # a text grows with its length whatever it holds
+    Rule("jwt", 3, r"eyJ[A-Za-z0-9_-]{8,}(\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})?", 1, 1, hints=("eyJ",)),
+    # (of a scheme, the last 21 characters at most belong to the span)
+    Rule("url", 3, r"[A-Za-z][A-Za-z0-9+.-]{0,20}://[^\s:@/]+:[^\s:@/]+@", hints=("://",)),
 )
 BASE = ("assign", "access", "hex")
 FINDING = "array<struct<start:long,stop:long>>"

@@ -426,6 +426,22 @@ def test_secret_rules_take_linear_time(spark):
     assert time.time() - began < 60
 
 
+def test_secret_parts_have_no_upper_bound(spark):
+    jwt = lambda a, b, c: f"eyJ{'h' * a}.eyJ{'p' * b}.{'s' * c}"
+    texts = [jwt(20, 1200, 20), jwt(20, 20, 1200), f"x {jwt(2000, 9, 8)} eyJ{'z' * 3000} eyJaaaaaaaaa.eyJbbbbbbbbb", f"https://{'u' * 300}:{'p' * 2500}@host", "eyJ" + "a" * 7 + ".eyJ" + "b" * 9 + "." + "c" * 9]
+    got = {r.id: [(s.kind, s.start, s.stop) for s in r.spans or []] for r in secrets.scan_all(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    first = 2 + len(jwt(2000, 9, 8))
+    assert got == {0: [("jwt", 0, len(texts[0]))], 1: [("jwt", 0, len(texts[1]))], 2: [("jwt", 2, first)], 3: [("url", 0, len(texts[3]) - 4)], 4: []}
+
+
+def test_dotted_names_are_kept(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k", "s", 5)], "doc_id long, text string, source string, `a.b` int")
+    assert mixing.mix(docs).first()["a.b"] == 5
+    bench = spark.createDataFrame([(1, "b c d e f g h i j k")], "item_id long, text string")
+    row = decontaminate.find_matches(docs, bench).first()
+    assert row["a.b"] == 5 and len(row.matches) == 1
+
+
 def licences_of(spark, rows, **clash):
     df = spark.createDataFrame(rows, "path string, text string").withColumns({c: F.lit("clash") for c in ("licence", "inherited", "_dir", "h1", "own", "unit", "__a1")})
     out = licenses.scan_licences(df, "path")
