@@ -9,73 +9,90 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.text import compact_key, has_word, or_null, strip
+from . import substrings
 
-#: Rule tables up to this many rows are broadcast; larger ones are left to the optimizer.
+#: Rule tables up to this many rows are broadcast; of larger ones, candidates are found by their character runs.
 BROADCAST_RULES = 10_000
 
+#: Pairs (text columns, pattern): what a condition says of a key implies that one of the patterns is inside one of its texts.
+Within = list[tuple[list[str], Column]]
 
-def _sized(rules: DataFrame) -> DataFrame:
-    """Marked for broadcast, if it has at most ``BROADCAST_RULES`` rows."""
-    return F.broadcast(rules) if rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES else rules
 
+def _pairs(keys: DataFrame, rules: DataFrame, matches: Callable[[], Column], within: Within | None, how: str, most: int | None) -> DataFrame:
+    """Keys joined to the rules that match. Few rules meet every key; many are looked up, if ``within`` tells how."""
+    most = BROADCAST_RULES if most is None else most
+    if rules.limit(most + 1).count() <= most:
+        return keys.join(F.broadcast(rules), matches(), how)
+    if within is None:
+        return keys.join(rules, matches(), how)
+    found = substrings.candidates(keys, rules, within).where(matches())
+    if how == "left":  # keys without a rule come too; a minimum over them and the others passes over their nulls
+        return found.unionByName(keys, allowMissingColumns=True)
+    return found
 
-def first_match_join(df: DataFrame, keys: list[str], rules: DataFrame, matches: Callable[[], Column], outputs: list[str], prio: str = "prio") -> DataFrame:
+
+def first_match_join(df: DataFrame, keys: list[str], rules: DataFrame, matches: Callable[[], Column], outputs: list[str], prio: str = "prio", within: Within | None = None, most: int | None = None) -> DataFrame:
     """``df`` with the outputs of the first rule (lowest prio) that matches, null where none does.
 
-    ``matches`` is a condition over the key columns and the rule columns. Only distinct keys meet the rules, one hash
-    aggregate finds the lowest prio, and equality joins bring the outputs back, so long tables see no theta join. Rule
-    columns must not be named like the keys. Null keys match what the condition says for null.
+    ``matches`` is a condition over the key columns and the rule columns. Only distinct keys meet the rules, one aggregate
+    finds the first, and one equality join brings its outputs back, so long tables see no theta join; of rules equal in prio
+    one wins. Rule columns must not be named like the keys. Null keys match what the condition says for null.
+
+    More than ``most`` rules (``BROADCAST_RULES``) are not compared with every key: with ``within`` they are found through an
+    index of character runs (see ``substrings.candidates``) and then held against the condition.
     """
-    rules = _sized(rules)
     distinct = df.select(*keys).distinct()
-    won = distinct.join(rules, matches()).groupBy(*keys).agg(F.min(prio).alias("_prio"))
-    named = won.join(rules.select(F.col(prio).alias("_prio"), *outputs), "_prio").drop("_prio")
-    side = named.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *outputs)
+    found = F.min(F.struct(prio, *outputs)).alias("_won")
+    won = _pairs(distinct, rules, matches, within, "inner", most).groupBy(*keys).agg(found)
+    side = won.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[F.col(f"_won.{o}").alias(o) for o in outputs])
     same = F.lit(True)
     for i, k in enumerate(keys):
         same = same & df[k].eqNullSafe(side[f"_k{i}"])
     return df.join(side, same, "left").drop(*[f"_k{i}" for i in range(len(keys))])
 
 
-def first_match_on_keys(keys: DataFrame, rules: DataFrame, matches: Callable[[], Column], outputs: list[str], prio: str = "prio") -> DataFrame:
+def first_match_on_keys(keys: DataFrame, rules: DataFrame, matches: Callable[[], Column], outputs: list[str], prio: str = "prio", within: Within | None = None, most: int | None = None) -> DataFrame:
     """J12 for a table of distinct keys: it meets the rules as it is, so a chain of lookups stays one linear plan."""
-    found = F.min(F.struct(prio, *outputs)).alias("_won")
-    won = keys.join(_sized(rules), matches(), "left").groupBy(*keys.columns).agg(found)
+    found = F.min(F.when(F.col(prio).isNotNull(), F.struct(prio, *outputs))).alias("_won")
+    won = _pairs(keys, rules, matches, within, "left", most).groupBy(*keys.columns).agg(found)
     return won.select(*keys.columns, *[F.col(f"_won.{o}").alias(o) for o in outputs])
 
 
-Lookup = Callable[[DataFrame, list[str], DataFrame, Callable[[], Column], list[str]], DataFrame]
+Lookup = Callable[..., DataFrame]
 
 
-def on_keys(df: DataFrame, keys: list[str], rules: DataFrame, matches: Callable[[], Column], outputs: list[str]) -> DataFrame:
+def on_keys(df: DataFrame, keys: list[str], rules: DataFrame, matches: Callable[[], Column], outputs: list[str], within: Within | None = None) -> DataFrame:
     """``first_match_on_keys`` in the form of ``first_match_join``."""
-    return first_match_on_keys(df, rules, matches, outputs)
+    return first_match_on_keys(df, rules, matches, outputs, within=within)
 
 
 def translate_brand(df: DataFrame, brand: str, names: DataFrame, out: str = "brand_en", lookup: Lookup = first_match_join) -> DataFrame:
     """The English name of the first Chinese name inside the brand text."""
     rules = names.select("prio", "zh", F.col("en").alias(out))
-    return lookup(df, [brand], rules, lambda: F.col(brand).contains(F.col("zh")), [out])
+    return lookup(df, [brand], rules, lambda: F.col(brand).contains(F.col("zh")), [out], within=[([brand], F.col("zh"))])
 
 
 def model_in_brand(df: DataFrame, brand: str, models: DataFrame, lookup: Lookup = first_match_join) -> DataFrame:
     """mapped_brand, mapped_model of the first raw model that stands as a whole word in the brand text."""
     rules = models.where(F.length("raw_model") >= 2).select("prio", "raw_model", F.col("brand").alias("mapped_brand"), F.col("model").alias("mapped_model"))
-    return lookup(df, [brand], rules, lambda: has_word(F.lower(F.col(brand)), F.col("raw_model")), ["mapped_brand", "mapped_model"])
+    lowered = df.withColumn("_lowered", F.lower(F.col(brand)))
+    keys = [brand, "_lowered"]
+    return lookup(lowered, keys, rules, lambda: has_word(F.col("_lowered"), F.col("raw_model")), ["mapped_brand", "mapped_model"], within=[(["_lowered"], F.col("raw_model"))]).drop("_lowered")
 
 
 def resolve_code(df: DataFrame, code: str, prefixes: DataFrame, out: str = "code_name", lookup: Lookup = first_match_join) -> DataFrame:
     """The name of the first code prefix (or exact code) of a model code."""
     c = F.upper(strip(F.col(code)))
     rules = prefixes.select("prio", "kind", F.col("code").alias("_prefix"), F.col("name").alias(out))
-    hit = lambda: ((F.col("kind") == "prefix") & c.startswith(F.col("_prefix"))) | ((F.col("kind") == "equals") & (c == F.col("_prefix")))
-    return lookup(df, [code], rules, hit, [out])
+    hit = lambda: ((F.col("kind") == "prefix") & F.col("_c").startswith(F.col("_prefix"))) | ((F.col("kind") == "equals") & (F.col("_c") == F.col("_prefix")))
+    coded = df.withColumn("_c", c)
+    return lookup(coded, [code, "_c"], rules, hit, [out], within=[(["_c"], F.col("_prefix"))]).drop("_c")
 
 
 def canonical_place_join(df: DataFrame, key: str, places: DataFrame, out: str = "place") -> DataFrame:
     """C27 with a rule table: ``key`` is the text after ``functions.location.place_key``."""
     rules = places.select("prio", F.col("key").alias("_place_key"), F.col("canonical").alias(out))
-    found = first_match_join(df, [key], rules, lambda: F.col(key).contains(F.col("_place_key")), [out])
+    found = first_match_join(df, [key], rules, lambda: F.col(key).contains(F.col("_place_key")), [out], within=[([key], F.col("_place_key"))])
     return found.withColumn(out, F.coalesce(out, key))
 
 
@@ -86,7 +103,7 @@ def map_headers(df: DataFrame, header: str, rules: DataFrame, out: str = "field"
     marked = df.withColumn("_header", F.when(~skip, h))
     table = rules.select("prio", "kind", F.col("pattern").alias("_pattern"), F.col("field").alias(out))
     hit = lambda: ((F.col("kind") == "equals") & (F.col("_header") == F.col("_pattern"))) | ((F.col("kind") == "contains") & F.col("_header").contains(F.col("_pattern")))
-    return first_match_join(marked, ["_header"], table, hit, [out]).drop("_header")
+    return first_match_join(marked, ["_header"], table, hit, [out], within=[(["_header"], F.col("_pattern"))]).drop("_header")
 
 
 def with_valid_brand(df: DataFrame, brand: str, valid: DataFrame) -> DataFrame:

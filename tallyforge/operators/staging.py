@@ -61,10 +61,16 @@ def apply_edits(table: DataFrame, edits: DataFrame, id_col: str = "id") -> DataF
 
 
 def old_values(table: DataFrame, edits: DataFrame, id_col: str = "id") -> DataFrame:
-    """The old value of each edited field, for rule distillation: (id, key, old_value, value)."""
+    """The value that each edit replaces, for rule distillation: (id, key, old_value, value[, ord]). With ``ord``, an edit that
+    follows another of the same field replaces that one's value."""
     kinds = [c for c in table.columns if c != id_col]
     long = table.select(F.col(id_col).alias("id"), *[F.col(c).cast("string").alias(c) for c in kinds]).unpivot("id", kinds, "key", "old_value")
-    return edits.join(long, ["id", "key"]).select("id", "key", "old_value", "value")
+    found = edits.join(long, ["id", "key"])
+    if "ord" not in edits.columns:
+        return found.select("id", "key", "old_value", "value")
+    w = Window.partitionBy("id", "key").orderBy("ord")
+    before = F.when(F.row_number().over(w) == 1, F.col("old_value")).otherwise(F.lag("value").over(w))
+    return found.select("id", "key", before.alias("old_value"), "value", "ord")
 
 
 def delete_rows(table: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame:

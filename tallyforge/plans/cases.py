@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import fixed, registry, rules
-from ..functions import color, location, numbers, price, state, text, variant
+from ..functions import color, dates, location, numbers, price, state, text, variant
 from ..materialize import shared_folder, written
 from ..operators import candidates, changes, grid, identity, matching, staging, validation
-from ..sources import files, records
+from ..sources import csv_text, files, records, workbooks
 from ..streaming import jobs as streams
+from . import jobs
 from .offers import KEY
 from .offers import SQL as OFFERS_SQL
 from .queries import K, NUM, USD, candidates_full, offers, query, table, values
@@ -338,23 +339,111 @@ def payload_keys(spark, sf_dir):
     return records.sink_payload(rows).select("id.*", F.array_join(named, ",").alias("keys"))
 
 
-@query("""WITH t AS (SELECT *, '/in/S' || (c_custkey % 9) || '/L/B/M/' || c_custkey || '.csv' AS path FROM customer WHERE c_custkey % 50 < 20)
- SELECT 'S' || (c_custkey % 9) || '/' || c_custkey || '.csv' AS file, row_no, col_no, value FROM (SELECT *, unnest([1, 1, 2, 2]) AS row_no, unnest([1, 2, 1, 2]) AS col_no, unnest(['车型', '地区,"x"', c_name, CAST(c_nationkey AS VARCHAR)]) AS value FROM t) WHERE c_custkey % 50 % 4 <> 3""")
+_CSV_FILE = "(c_custkey - c_custkey % 10) // 10"
+
+
+@query(f"""WITH t AS (SELECT *, {_CSV_FILE} AS f, 1 + row_number() OVER (PARTITION BY {_CSV_FILE} ORDER BY c_custkey) AS r FROM customer), w AS (
+  SELECT f, 1 AS row_no, unnest([1, 2]) AS col_no, unnest(['车型', '地区,"x"']) AS value FROM t WHERE r = 2 UNION ALL SELECT f, r, unnest([1, 2]), unnest([c_name, CAST(c_nationkey AS VARCHAR)]) FROM t)
+ SELECT 'S' || (f % 9) || '/' || f || '.csv' AS file, row_no, col_no, value FROM w WHERE f % 4 <> 3""")
 def csv_files(spark, sf_dir):
     """Customers written as CSV files by supplier folder, found, fingerprinted, checked against a ledger of every
     fourth content, and read as cells"""
-    c = table(spark, sf_dir, "customer").where("c_custkey % 50 < 20")
-    body = F.concat(F.lit('车型,"地区,""x"""\n\n"'), "c_name", F.lit('",'), F.col("c_nationkey").cast("string"), F.lit("\n"))
-    rows = c.select("c_custkey", body.alias("content"))
+    c = table(spark, sf_dir, "customer").withColumn("f", F.expr("(c_custkey - c_custkey % 10) DIV 10"))
+    line = F.concat(F.lit('"'), "c_name", F.lit('",'), F.col("c_nationkey").cast("string"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", line.alias("line")))), lambda x: x["line"]), "\n")
+    rows = c.groupBy("f").agg(F.concat(F.lit('车型,"地区,""x"""\n\n'), body).alias("content"))  # ten customers a file
     root = shared_folder(spark, "files")
-    rows.select("content", (F.col("c_custkey") % 9).alias("s"), F.col("c_custkey").alias("f")).write.partitionBy("s", "f").option("lineSep", "\n").text(root)
-    ledger = rows.where("c_custkey % 50 % 4 = 3").select(F.sha2(F.concat("content", F.lit("\n")), 256).alias("content_hash"))
+    rows.select("content", (F.col("f") % 9).alias("s"), "f").repartition(8, "f").write.partitionBy("s", "f").option("lineSep", "\n").text(root)
+    ledger = rows.where("f % 4 = 3").select(F.sha2(F.concat("content", F.lit("\n")), 256).alias("content_hash"))
     found = files.discover(spark, root, ("txt",)).withColumn("path", F.regexp_replace("path", "[.]txt$", ".csv"))
     good, _ = files.split_errors(files.read_cells(files.unseen(found, ledger)))
     name = F.concat(F.lit("S"), F.regexp_extract("path", "/s=(\\d+)/", 1), F.lit("/"), F.regexp_extract("path", "/f=(\\d+)/", 1), F.lit(".csv"))
     return good.select(name.alias("file"), "row_no", "col_no", "value")
 
 
+@query("""WITH c AS (SELECT c_custkey % 9 AS k, row_number() OVER (PARTITION BY c_custkey % 9 ORDER BY c_custkey) AS r, * FROM customer),
+  v AS (SELECT 9 + conv_id % 7 AS k, row_number() OVER (PARTITION BY conv_id % 7 ORDER BY conv_id, turn) AS r, * FROM conversations)
+ SELECT k, r AS row_no, unnest([1, 2, 3, 4]) AS col_no, unnest([CAST(c_custkey AS VARCHAR), c_name || ' "x", ' || c_nationkey, '', c_mktsegment]) AS value FROM c
+ UNION ALL SELECT k, r, unnest([1, 2, 3]), unnest([CAST(conv_id AS VARCHAR), replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), role]) FROM v""")
+def csv_lines(spark, sf_dir):
+    """A3: customers as CSV files of one record a line, with blank rows between, read line by line; turns of conversations as
+    files whose fields hold line breaks, told apart and read whole"""
+    root = shared_folder(spark, "csv")
+    doubled = lambda c: F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"'))
+    c = table(spark, sf_dir, "customer").select((F.col("c_custkey") % 9).alias("k"), F.col("c_custkey").alias("a"), F.lit(0).alias("b"), F.concat(F.col("c_custkey").cast("string"), F.lit(',"'), "c_name", F.lit(' ""x"", '), F.col("c_nationkey").cast("string"), F.lit('",,'), "c_mktsegment", F.when(F.col("c_custkey") % 5 == 0, F.lit("\n,,\n")).otherwise("")).alias("value"))
+    v = table(spark, sf_dir, "conversations").select((9 + F.col("conv_id") % 7).alias("k"), F.col("conv_id").alias("a"), F.col("turn").alias("b"), F.concat(F.col("conv_id").cast("string"), F.lit(","), doubled("text"), F.lit(","), "role").alias("value"))
+    c.unionByName(v).repartition(8, "k").sortWithinPartitions("k", "a", "b").select("k", "value").write.partitionBy("k").text(root)
+    good, _ = files.split_errors(csv_text.read_csv_cells(spark, root, ("txt",)))
+    return good.select(F.regexp_extract("path", "/k=(\\d+)/", 1).cast("long").alias("k"), "row_no", "col_no", "value")
+
+
+_BOOK = "SELECT o_orderkey, o_custkey % 20 AS f, o_orderdate, o_orderpriority, o_orderstatus, CAST(floor(o_totalprice) AS BIGINT) AS total, row_number() OVER (PARTITION BY o_custkey % 20 ORDER BY o_orderkey) + 1 AS r FROM {orders}"
+_AT = "CAST(o_orderdate AS TIMESTAMP) + INTERVAL (CASE WHEN o_orderkey % 2 = 0 THEN 0 ELSE o_orderkey % 86400 END) SECOND"
+
+
+@query(f"""WITH o AS ({_duck(_BOOK, 'orders')}), cells AS (
+  SELECT f, 'orders' AS sheet, 1 AS row_no, unnest([1, 2, 3]) AS col_no, 'orders of S' || f AS value, 's' AS kind, TRUE AS merged FROM o WHERE r = 2
+  UNION ALL SELECT f, 'orders', r, 1, o_orderkey::VARCHAR, 'n', FALSE FROM o
+  UNION ALL SELECT f, 'orders', r, 2, strftime({_AT}, '%Y-%m-%dT%H:%M:%S'), 'd', FALSE FROM o
+  UNION ALL SELECT f, 'orders', r, 3, o_orderpriority || ' <&>', 's', FALSE FROM o
+  UNION ALL SELECT f, 'orders', r, 4, ' ' || o_orderstatus, 's', FALSE FROM o WHERE o_orderkey % 5 <> 0
+  UNION ALL SELECT f, 'orders', r, 5, total || '.5', 'n', FALSE FROM o
+  UNION ALL SELECT f, 'orders', unnest([2, 3]), 6, (o_orderkey % 30) || ':' || lpad((o_orderkey % 60)::VARCHAR, 2, '0') || ':00', 't', TRUE FROM o WHERE r = 2
+  UNION ALL SELECT f, '旗', r - 1, 2, CASE WHEN total % 2 = 0 THEN 'True' ELSE 'False' END, 'b', FALSE FROM o)
+  SELECT 'S' || f || '.xlsx' AS file, sheet, row_no, col_no, value, kind, merged, CASE WHEN kind = 'd' THEN substr(value, 1, 10) END AS day FROM cells""")
+def workbook_cells(spark, sf_dir):
+    """Orders written as workbooks (shared and inline text, numbers, dates with and without a time, durations,
+    booleans, merged ranges over columns and rows) and read back as cells; date cells are dates"""
+    o = view(spark, sf_dir, _BOOK, "orders")
+    at = F.date_format(F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(secs=F.when(F.expr("o_orderkey % 2 = 0"), 0).otherwise(F.expr("o_orderkey % 86400"))), "yyyy-MM-dd'T'HH:mm:ss")
+    key = F.col("o_orderkey").cast("string")
+    lasts = F.concat((F.col("o_orderkey") % 30).cast("string"), F.lit(":"), F.lpad((F.col("o_orderkey") % 60).cast("string"), 2, "0"), F.lit(":00"))
+    cell = lambda sheet, r, c, value, kind: F.struct(F.lit(sheet).alias("sheet"), F.lit(1 if sheet == "orders" else 2).alias("sheet_no"), r.alias("row_no"), F.lit(c).alias("col_no"), value.alias("value"), F.lit(kind).alias("kind"))
+    r = F.col("r").cast("int")
+    made = F.array(
+        cell("orders", F.lit(1), 1, F.when(r == 2, F.concat(F.lit("orders of S"), F.col("f").cast("string"))), "s"),
+        cell("orders", r, 1, key, "n"), cell("orders", r, 2, at, "d"), cell("orders", r, 3, F.concat("o_orderpriority", F.lit(" <&>")), "s"),
+        cell("orders", r, 4, F.when(F.expr("o_orderkey % 5 <> 0"), F.concat(F.lit(" "), "o_orderstatus")), "i"), cell("orders", r, 5, F.concat(F.col("total").cast("string"), F.lit(".5")), "n"),
+        cell("orders", r, 6, F.when(r == 2, lasts), "t"), cell("旗", r + 3, 2, F.when(F.expr("total % 2 = 0"), "True").otherwise("False"), "b"),
+    )
+    path = F.concat(F.lit("/input/S"), F.col("f").cast("string"), F.lit(".xlsx"))
+    cells = o.select(path.alias("path"), F.explode(made).alias("c")).select("path", "c.*")
+    merges = o.select(path.alias("path")).distinct().select("path", F.lit("orders").alias("sheet"), F.explode(F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(("min_row", "max_row", "min_col", "max_col"), m)]) for m in ((1, 1, 1, 3), (2, 3, 6, 6))])).alias("m")).select("path", "sheet", "m.*")
+    books = workbooks.to_workbooks(cells, merges).withColumn("length", F.length("content"))
+    good, _ = files.split_errors(files.read_cells(files.fingerprinted(books)))
+    return good.select(F.regexp_extract("path", "[^/]*$", 0).alias("file"), "sheet", "row_no", "col_no", "value", "kind", "merged", F.when(F.col("kind") == "d", dates.normal_date(F.col("value"))).alias("day"))
+
+
+@query(f"""WITH {OFFERS_SQL}, m AS (SELECT supplier, l_partkey, (min((l_orderkey % 3 <> 0, l_orderkey, l_linenumber))) AS o FROM offers GROUP BY 1, 2),
+  n AS (SELECT supplier, l_partkey, 'MDL-' || lpad((64 + row_number() OVER (ORDER BY o, supplier, l_partkey::VARCHAR))::VARCHAR, greatest(3, length((64 + row_number() OVER (ORDER BY o, supplier, l_partkey::VARCHAR))::VARCHAR))::INT, '0') AS model_id FROM m),
+  v AS (SELECT model_id, l_linenumber % 3 AS variant, min((l_orderkey % 3 <> 0, l_orderkey, l_linenumber)) AS o FROM offers JOIN n USING (supplier, l_partkey) GROUP BY 1, 2)
+  SELECT supplier, l_partkey, variant, model_id || '-V' || lpad(row_number() OVER (PARTITION BY model_id ORDER BY o, variant)::VARCHAR, 2, '0') AS variant_id FROM n JOIN v USING (model_id)""")
+def durable_ids_in_two_runs(spark, sf_dir):
+    """models and variants of offers get their ids in a run over a third of the orders, in a run over all of them, and
+    in a repetition of that; every id is the one of the first run that met its key"""
+    store = jobs.Store(spark, shared_folder(spark, "store"))
+    numbering = jobs.numbering(store)
+    o = offers(spark, sf_dir).select("supplier", F.col("l_partkey").cast("string").alias("part"), "l_orderkey", "l_linenumber", (F.col("l_linenumber") % 3).cast("string").alias("variant"), F.struct("l_orderkey", "l_linenumber").alias("ord"))
+    for seen in (o.where("l_orderkey % 3 = 0"), o, o):
+        named = seen.join(numbering.models(seen, ["supplier", "part"], "ord").withColumnRenamed("id", "model_id"), ["supplier", "part"])
+        variants = numbering.variants(named, "model_id", "variant", "ord")
+    models = numbering.models(o, ["supplier", "part"], "ord").withColumnRenamed("id", "model_id")
+    return models.join(variants, "model_id").select("supplier", F.col("part").cast("long").alias("l_partkey"), F.col("variant").cast("long").alias("variant"), F.col("id").alias("variant_id"))
+
+
+_TOLD = "concat(p_name, ' ', CAST(p_partkey * 7919 AS VARCHAR(20)), CASE WHEN p_partkey % 3 = 0 THEN concat(' 车型', CAST(p_size AS VARCHAR(9))) ELSE '' END)"
+_PATTERNS = "SELECT o_orderkey AS prio, CASE CAST(o_orderkey % 50 AS INT) WHEN 1 THEN concat('车型', CAST(o_orderkey % 60 AS VARCHAR(9))) ELSE CAST(o_orderkey AS VARCHAR(20)) END AS pattern, concat('rule ', CAST(o_orderkey AS VARCHAR(20))) AS named FROM {orders}"
+
+
+@query(f"""WITH r AS ({_duck(_PATTERNS, 'orders')}), k AS (SELECT p_partkey, {_TOLD} AS told FROM part), hit AS (SELECT p_partkey, arg_min(named, prio) AS named FROM k JOIN r ON contains(told, pattern) GROUP BY p_partkey)
+  SELECT p_partkey, told, named FROM k LEFT JOIN hit USING (p_partkey)""")
+def rule_index(spark, sf_dir):
+    """A rule for each order, found inside texts of parts by an index of character runs: no text meets every rule"""
+    k = table(spark, sf_dir, "part").select("p_partkey", F.expr(_TOLD.replace("VARCHAR(20)", "STRING").replace("VARCHAR(9)", "STRING")).alias("told"))
+    r = spark.sql(_PATTERNS.replace("VARCHAR(20)", "STRING").replace("VARCHAR(9)", "STRING"), orders=table(spark, sf_dir, "orders"))
+    return matching.first_match_join(k, ["told"], r, lambda: F.col("told").contains(F.col("pattern")), ["named"], within=[(["told"], F.col("pattern"))], most=0)
+
+
 @query("""WITH r AS (SELECT s_name AS pattern, 'fixed-' || s_suppkey AS target, 'model' AS field FROM supplier WHERE s_suppkey % 2 = 0)
  SELECT c_custkey, coalesce(r.target, x.n) AS model, c_mktsegment FROM (SELECT c_custkey, replace(c_name, 'Customer', 'Supplier') AS n, c_mktsegment FROM customer) x LEFT JOIN r ON x.n = r.pattern""")
 def learned_overrides(spark, sf_dir):

@@ -21,6 +21,8 @@ K = ", ".join(KEY)
 
 def query(sql: str | None = None):
     def add(f):
+        if f.__name__ in QUERIES:
+            raise ValueError(f"query {f.__name__} is registered twice")
         QUERIES[f.__name__] = f
         if sql:
             ORACLE[f.__name__] = sql
@@ -318,14 +320,6 @@ def variant_segments(spark, sf_dir):
     return p.select("p_partkey", F.col("s.text").alias("kept"), F.array_join("s.details", "; ").alias("details"))
 
 
-@query()
-def variant_clean(spark, sf_dir):
-    """Variants of made-up trims of the offers' models, cleaned on distinct keys"""
-    o = offers(spark, sf_dir).select(*KEY, F.col("raw_brand").alias("brand"), F.col("raw_model").alias("model"), F.expr("concat(raw_model, ' ', CASE CAST(m % 5 AS INT) WHEN 0 THEN '730旗舰型' WHEN 1 THEN '430km' WHEN 2 THEN '2025款310舒享版' WHEN 3 THEN '57800' ELSE '豪华版(空调) | 宁德83kWh' END)").alias("_variant_text"))
-    o = o.withColumn("_raw_brand", F.col("brand")).withColumn("_raw_model", F.col("model")).withColumn("_note", F.lit(None).cast("string")).withColumn("_context", F.array("model"))
-    return candidates.with_variants(o, rules.brand_models(spark)).select(*KEY, "variant", "notes")
-
-
 @query(f"""WITH {OFFERS_SQL}, t AS (SELECT {K}, m, raw_model, CASE WHEN m % 3 = 0 THEN '57,800' WHEN m % 3 = 1 THEN '豪华版' END AS v FROM offers)
  SELECT {K}, CASE WHEN m % 3 = 1 THEN '豪华版' END AS variant, CASE WHEN m % 3 = 0 THEN 57800 END::BIGINT AS price FROM t""")
 def variant_number(spark, sf_dir):
@@ -382,13 +376,6 @@ def dimension_lookup(spark, sf_dir):
     return matching.lookup_with_fallback(c, records.dimension_index(s), "b", "m").select("c_custkey", "model_id")
 
 
-@query("SELECT floor((i - 1) / 500)::BIGINT AS batch_no, count(*) AS n FROM (SELECT row_number() OVER (ORDER BY o_orderkey) AS i FROM orders) GROUP BY 1")
-def batches(spark, sf_dir):
-    """Orders numbered without a window over them, in batches of 500"""
-    rows = staging.with_ids(table(spark, sf_dir, "orders").select("o_orderkey"), 0)
-    return staging.batches(rows, 500).groupBy("batch_no").agg(F.count("*").alias("n"))
-
-
 # ---- states
 
 
@@ -455,26 +442,6 @@ def merged_base(spark, sf_dir):
     return c.groupBy("path").agg(F.count_if((F.col("row_no") <= 2) & (F.col("col_no") <= 3) & (F.col("value") == F.col("top"))).alias("same"), F.count("*").alias("n"))
 
 
-@query("""WITH c AS (SELECT doc_id, row_no, unnest(string_split(value, ' ')) AS v, generate_subscripts(string_split(value, ' '), 1) AS col_no FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS value, generate_subscripts(string_split(text, chr(10)), 1) AS row_no FROM documents)),
- m AS (SELECT doc_id, r AS row_no, k AS col_no FROM (SELECT DISTINCT doc_id FROM c), range(1, 3) a(r), range(1, 4) b(k))
- SELECT coalesce(c.doc_id, m.doc_id) AS path, count(*) AS n, count(*) FILTER (m.doc_id IS NOT NULL) AS n_filled FROM c FULL JOIN m ON c.doc_id = m.doc_id AND c.row_no = m.row_no AND c.col_no = m.col_no GROUP BY 1""")
-def merged_fill(spark, sf_dir):
-    """A5: a merged block of 2 x 3 cells at the top of every document's grid"""
-    c = document_cells(spark, sf_dir)
-    m = c.select("path", "sheet").distinct().select("path", "sheet", *[F.lit(v).alias(n) for n, v in (("min_row", 1), ("max_row", 2), ("min_col", 1), ("max_col", 3))])
-    filled = grid.fill_merged(c, m)
-    in_block = (F.col("row_no") <= 2) & (F.col("col_no") <= 3)
-    return filled.groupBy("path").agg(F.count("*").alias("n"), F.count_if(in_block).alias("n_filled"))
-
-
-@query("""WITH c AS (SELECT conv_id AS path, turn AS row_no, role, text FROM conversations) SELECT path, count(*) AS n_rows, count(*) FILTER (role = 'user') AS n_user FROM c GROUP BY path HAVING count(*) FILTER (role = 'user') >= 1""")
-def text_rows_kept(spark, sf_dir):
-    """Data rows of conversations that are no remarks"""
-    c = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("path"), F.lit("s").alias("sheet"), F.col("turn").alias("row_no"), F.col("role"), F.lit("x").alias("text"))
-    kept = grid.data_rows(c).groupBy("path").agg(F.count("*").alias("n_rows"), F.count_if(F.col("role") == "user").alias("n_user"))
-    return kept.where("n_user >= 1")
-
-
 @query("""SELECT event_id, user_id, last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS last_purchase FROM events""")
 def text_carry_forward(spark, sf_dir):
     """F6 on events: the last purchase up to each event of a user"""
@@ -539,13 +506,6 @@ def physical_places(spark, sf_dir):
     return p.select("page_id", "s", location.physical_place(F.col("s")).alias("place"))
 
 
-@query("""SELECT n_regionkey AS path, count(*) AS n FROM nation GROUP BY n_regionkey""")
-def sheet_select(spark, sf_dir):
-    """Nations as sheets of regions; none is a summary, so all stay"""
-    c = table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("path"), F.col("n_name").alias("sheet"), F.lit(1).alias("row_no"), F.lit(1).alias("col_no"), F.lit("x").alias("value"))
-    return grid.select_sheets(c).groupBy("path").agg(F.count("*").alias("n"))
-
-
 # ---- staging and changes
 
 
@@ -632,15 +592,6 @@ def snapshot_build(spark, sf_dir):
     return changes.build_snapshot(c)
 
 
-@query(f"""WITH {OFFERS_SQL} SELECT count(*) AS n, count(DISTINCT i) AS n_ids, min(i) AS first_id, max(i) AS last_id, count(brand) AS n_brand FROM (SELECT 100 + row_number() OVER (ORDER BY {K}) AS i, raw_brand AS brand FROM offers)""")
-def stage_append(spark, sf_dir):
-    """Staged offers keep consecutive ids"""
-    o = offers(spark, sf_dir).select("supplier", F.col("raw_brand").alias("brand"), F.col("raw_model").alias("model"))
-    staged = written(staging.stage(o, 100, F.lit("2026-01-01").cast("timestamp")), "staged")
-    p = staging.pending(staged)
-    return p.agg(F.count("*").alias("n"), F.count_distinct("id").alias("n_ids"), F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.count("brand").alias("n_brand"))
-
-
 @query(f"""WITH {OFFERS_SQL} SELECT {K}, supplier AS s, nullif(raw_model, '') AS m FROM offers""")
 def sink_payload(spark, sf_dir):
     """Payloads of offers, read back"""
@@ -672,7 +623,6 @@ def first_valid_attempt(spark, sf_dir):
     return validation.first_valid(validation.check_responses(c)).select("doc_id", "attempt", "needs_human_review")
 
 
-@query()
 def candidates_full(spark, sf_dir):
     """The whole normalisation over all offers: candidates by brand, model and status"""
     o = offers(spark, sf_dir).select(

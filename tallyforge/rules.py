@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixed
+from .operators.staging import with_ids
 
 
 def built_in_brand_models() -> list[tuple[str, str, str, str]]:
@@ -21,20 +22,27 @@ def brand_names(spark: SparkSession) -> DataFrame:
 
 
 def brand_models(spark: SparkSession, override: DataFrame | None = None) -> DataFrame:
-    """(prio, raw_brand, raw_model, brand, model). Rows of ``override`` (raw_brand, raw_model, brand, model) with a raw
-    brand, a brand and a model win over built-in rows of the same key, which keep their place; new keys follow."""
+    """(prio, raw_brand, raw_model, brand, model), each prio once. Rows of ``override`` (raw_brand, raw_model, brand,
+    model[, ord]) with a raw brand, a brand and a model win over built-in rows of the same key, which keep their place; new
+    keys follow in their order (by ord, else by key), and the last of several rows of a key wins."""
     base = spark.createDataFrame([(i, 0, *r) for i, r in enumerate(built_in_brand_models())], "prio long, rank int, raw_brand string, raw_model string, brand string, model string")
     if override is None:
         return base.drop("rank")
     t = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
-    more = override.select(F.xxhash64("raw_brand", "raw_model").alias("prio"), F.lit(1).alias("rank"), F.lower(t("raw_brand")).alias("raw_brand"), F.lower(t("raw_model")).alias("raw_model"), t("brand").alias("brand"), t("model").alias("model"))
-    more = more.where("raw_brand <> '' and brand <> '' and model <> ''").withColumn("prio", F.abs(F.col("prio") % 1_000_000_000) + 1_000_000)
+    more = override.select(F.lit(1).alias("rank"), F.lower(t("raw_brand")).alias("raw_brand"), F.lower(t("raw_model")).alias("raw_model"), t("brand").alias("brand"), t("model").alias("model"), (F.col("ord").cast("long") if "ord" in override.columns else F.lit(0)).alias("ord"))
+    more = more.where("raw_brand <> '' and brand <> '' and model <> ''")
+    more = with_ids(more, len(fixed.BRAND_MODELS), ["ord", "raw_brand", "raw_model", "brand", "model"]).withColumnRenamed("id", "prio").drop("ord")
     both = base.unionByName(more).groupBy("raw_brand", "raw_model").agg(F.min("prio").alias("prio"), F.max_by(F.struct("brand", "model"), F.struct("rank", "prio")).alias("v"))
     return both.select("prio", "raw_brand", "raw_model", "v.brand", "v.model")
 
 
+#: Where learned header rules and the aliases behind them begin in the order of ``header_rules``.
+LEARNED, BEHIND = 1 << 20, 1 << 62
+
+
 def header_rules(spark: SparkSession, learned: DataFrame | None = None) -> DataFrame:
-    """B1: (prio, kind, pattern, field), kind 'equals' or 'contains': names, learned rules (pattern, field), aliases, registry."""
+    """B1: (prio, kind, pattern, field), kind 'equals' or 'contains': names, then learned rules (prio below 2^61, pattern, field), then aliases, then the
+    registry."""
     rows = [("equals", f.lower(), f) for f, _ in fixed.HEADER_ALIASES]
     tail = [("contains", a.lower(), f) for f, aliases in fixed.HEADER_ALIASES for a in aliases]
     registry: dict[str, str] = {}
@@ -43,10 +51,10 @@ def header_rules(spark: SparkSession, learned: DataFrame | None = None) -> DataF
     tail += [("contains", a, f) for a, f in registry.items()]
     schema = "prio long, kind string, pattern string, field string"
     first = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], schema)
-    last = spark.createDataFrame([(2_000_000 + i, *r) for i, r in enumerate(tail)], schema)
+    last = spark.createDataFrame([(BEHIND + i, *r) for i, r in enumerate(tail)], schema)
     if learned is None:
         return first.unionByName(last)
-    middle = learned.select((F.lit(1_000_000) + F.col("prio")).cast("long").alias("prio"), F.lit("contains").alias("kind"), "pattern", "field")
+    middle = learned.select((F.lit(LEARNED) + F.col("prio").cast("long")).alias("prio"), F.lit("contains").alias("kind"), "pattern", "field")
     return first.unionByName(middle).unionByName(last)
 
 

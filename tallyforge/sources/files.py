@@ -4,17 +4,17 @@ from __future__ import annotations
 
 import csv
 import io
-import re
-import zipfile
-from xml.etree import ElementTree
+from itertools import islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .workbooks import workbook_cells
+
 CELLS = "path string, content_hash string, sheet string, sheet_no int, row_no int, col_no int, value string, kind string, merged boolean, error string"
-_NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
-_REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+#: Cells that are handed to Arrow at once.
+CHUNK = 50_000
 
 
 def discover(spark: SparkSession, root: str, suffixes: tuple[str, ...] = ("xlsx", "xls", "csv")) -> DataFrame:
@@ -34,7 +34,7 @@ def unseen(files: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def _csv_cells(data: bytes):
-    rows = csv.reader(io.StringIO(data.decode("utf-8-sig", errors="ignore"), newline=""))
+    rows = csv.reader(io.StringIO(data.decode("utf-8-sig", errors="ignore"), newline=None))  # line ends inside quotes are \n too
     n = 0
     for row in rows:
         if any(row):
@@ -43,68 +43,36 @@ def _csv_cells(data: bytes):
                 yield "Sheet1", 1, n, c, value, "s", False
 
 
-def _text(node) -> str:
-    return "".join(t.text or "" for t in node.iter(_NS + "t"))
-
-
-def _place(ref: str) -> tuple[int, int]:
-    letters, digits = re.fullmatch(r"([A-Z]+)(\d+)", ref).groups()
-    col = 0
-    for ch in letters:
-        col = col * 26 + ord(ch) - 64
-    return int(digits), col
-
-
-def _workbook_cells(data: bytes):
-    """Cached values of every sheet; rows without values are left out and the others numbered; cells that lie in a merged
-    range are marked, its first cell's value is spread by ``operators.grid.fill_merged``."""
-    book = zipfile.ZipFile(io.BytesIO(data))
-    shared = [_text(x) for x in ElementTree.fromstring(book.read("xl/sharedStrings.xml"))] if "xl/sharedStrings.xml" in book.namelist() else []
-    targets = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
-    sheets = ElementTree.fromstring(book.read("xl/workbook.xml")).find(_NS + "sheets")
-    for number, sheet in enumerate(sheets, 1):
-        target = targets[sheet.get(_REL)].lstrip("/")
-        root = ElementTree.fromstring(book.read(target if target.startswith("xl/") else f"xl/{target}"))
-        grid: dict[tuple[int, int], tuple[str, str]] = {}
-        for cell in root.iter(_NS + "c"):
-            kind, v, inline = cell.get("t", "n"), cell.find(_NS + "v"), cell.find(_NS + "is")
-            if kind == "s" and v is not None:
-                grid[_place(cell.get("r"))] = shared[int(v.text)], "s"
-            elif inline is not None:
-                grid[_place(cell.get("r"))] = _text(inline), "s"
-            elif v is not None and v.text is not None:
-                grid[_place(cell.get("r"))] = v.text, "n" if kind == "n" else "s"
-        merged = set()
-        for m in root.iter(_NS + "mergeCell"):
-            (r1, c1), (r2, c2) = (_place(x) for x in (m.get("ref").split(":") * 2)[:2])
-            if (r1, c1) in grid:
-                for at in ((r, c) for r in range(r1, r2 + 1) for c in range(c1, c2 + 1)):
-                    grid[at] = grid[r1, c1]
-                    merged.add(at)
-        rows = {r: i for i, r in enumerate(sorted({r for r, _ in grid}), 1)}
-        for (r, c), (value, kind) in sorted(grid.items()):
-            yield sheet.get("name"), number, rows[r], c, value, kind, (r, c) in merged
-
-
 def read_cells(files: DataFrame) -> DataFrame:
-    """One row per cell of CSV files and workbooks; a file that can't be decoded gives one row with ``error``.
+    """One row per cell of CSV files and workbooks; a file that can't be decoded gives one row with ``error``, and no
+    cells.
 
-    Kinds: 's' text, 'n' number. CSV is UTF-8, undecodable bytes dropped, one sheet named Sheet1. Old binary workbooks are
-    not decodable. Files are independent, so decoding is spread over tasks; one file's cells stay in one task.
+    Kinds: 's' text, 'n' number, 'd' date and time (ISO), 't' time or duration, 'b' boolean. CSV is UTF-8, undecodable bytes
+    dropped, one sheet named Sheet1. Old binary workbooks are not decodable. Files are independent, so decoding is spread over
+    tasks; one file's cells stay in one task, as columns, until its end is read.
     """
 
+    def table(rows, path, digest) -> pa.RecordBatch:
+        sheet, sheet_no, row_no, col_no, value, kind, merged = zip(*rows)
+        n = len(rows)
+        columns = [[path] * n, [digest] * n, sheet, sheet_no, row_no, col_no, value, kind, merged, [None] * n]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
     def run(batches):
-        for pdf in batches:
-            out = []
-            for path, digest, data in zip(pdf.path, pdf.content_hash, pdf.content):
+        for batch in batches:
+            for path, digest, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 try:
-                    read = _csv_cells if path.lower().endswith(".csv") else _workbook_cells
-                    out += [(path, digest, *cell, None) for cell in read(bytes(data))]
+                    cells = (_csv_cells if path.lower().endswith(".csv") else workbook_cells)(data.as_py())
+                    done = []
+                    while chunk := list(islice(cells, CHUNK)):
+                        done.append(table(chunk, path, digest))
+                    yield from done
                 except Exception as e:  # any damage in a file is that file's error
-                    out.append((path, digest, None, None, None, None, None, None, None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in CELLS.split(", ")])
+                    yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip([path, digest, *[None] * 7, f"{type(e).__name__}: {e}"], types)], names)
 
-    return files.select("path", "content_hash", "content").mapInPandas(run, CELLS)
+    names = [c.split()[0] for c in CELLS.split(", ")]
+    types = [{"string": pa.string(), "int": pa.int32(), "boolean": pa.bool_()}[c.split()[1]] for c in CELLS.split(", ")]
+    return files.select("path", "content_hash", "content").mapInArrow(run, CELLS)
 
 
 def split_errors(cells: DataFrame) -> tuple[DataFrame, DataFrame]:

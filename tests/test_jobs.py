@@ -46,7 +46,7 @@ def test_learning_loop_and_table_actions(spark, tmp_path):
     (folder / "价格表.csv").write_text("品牌,车型,配置,EXW(USD),堆位\nBYD,Seagull,Flying Edition,9800,10\n", "utf-8")
     (folder / "text.md").write_text("# BYD Dolphin", "utf-8")
     store = jobs.Store(spark, str(tmp_path / "tables"))
-    learned = [("header_alias", "", "堆位", "stockQuantity", "x", 1), ("field_override", "variant", "Flying Edition", "Flying", "x", 2)]
+    learned = [("header_alias", "", "堆位", "stockQuantity", "x", 1), ("field_override", "variant", "Flying Edition", "Flying", "x", 2), ("field_override", "model", "Dolphin", "Dolphin S", "x", 3)]
     store.replace("rules", spark.createDataFrame(learned, jobs.RULES))
     inner = json.dumps({"candidates": [{"brand": "BYD", "modelName": "Dolphin", "stockQuantity": 3, "priceExw": 9000}]})
     good = json.dumps({"candidates": [{"content": {"parts": [{"text": inner}]}}]})
@@ -59,8 +59,9 @@ def test_learning_loop_and_table_actions(spark, tmp_path):
     known = jobs.Known(models, variants, None, None, responses)
     out = {r.model: r for r in jobs.run(store, str(tmp_path / "input"), str(tmp_path / "out"), now, known=known).collect()}
     assert (out["Seagull"].model_id, out["Seagull"].variant_id, out["Seagull"].variant, out["Seagull"].stock_quantity) == ("M-1", "V-7", "Flying", 10)
-    assert (out["Dolphin"].stock_quantity, out["Dolphin"].cost_exw_usd) == (3, 9000)
-    assert jobs.report(store).first().learned_rules == 2
+    assert (out["Dolphin S"].stock_quantity, out["Dolphin S"].cost_exw_usd, out["Dolphin S"].model_id) == (3, 9000, "MDL-065")
+    assert [(r.model, r.number) for r in store.read("model_ids", jobs.MODEL_IDS).collect()] == [("dolphin s", 65)]  # overrides come before ids
+    assert jobs.report(store).first().learned_rules == 3
     ids = {r.model: r.id for r in jobs.list_pending(store).collect()}
     edits = spark.createDataFrame([(ids["Seagull"], "location", "Horgos"), (ids["Seagull"], "nope", "x")], "id long, key string, value string")
     assert [r.key for r in jobs.edit(store, edits).collect()] == ["nope"]
@@ -69,9 +70,9 @@ def test_learning_loop_and_table_actions(spark, tmp_path):
     assert (rule.raw_pattern, rule.target_value) == ("南沙", "Horgos")
     (folder / "报价表.csv").write_text("品牌,车型,EXW(USD)\nBYD,Seal,20000\n", "utf-8")
     again = jobs.run(store, str(tmp_path / "input"), str(tmp_path / "out"), now).collect()
-    assert [(r.model, r.location) for r in again] == [("Seal", "Horgos")]  # the edit of another row's place is now a rule
+    assert [(r.model, r.model_id, r.location) for r in again] == [("Seal", "MDL-066", "Horgos")]  # ids go on from the last run; the edit of another row's place is now a rule
     assert jobs.list_pending(store).count() == 3 and spark.read.json(str(tmp_path / "out" / "candidates_20260102")).count() == 1
-    jobs.delete(store, spark.createDataFrame([(ids["Dolphin"],)], "id long"))
+    jobs.delete(store, spark.createDataFrame([(ids["Dolphin S"],)], "id long"))
     jobs.sync(store, str(tmp_path / "payload"), now)
     jobs.clean(store)
     assert store.read("staged", staged_schema()).count() == 0
