@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import fixed
 from ..functions.location import path_metadata
 from ..functions.text import any_of, or_null, strip
+from ..materialize import written
 from .matching import map_headers
 
 SHEET = ["path", "sheet"]
@@ -52,19 +53,23 @@ def row_texts(cells: DataFrame) -> DataFrame:
 def header_rows(cells: DataFrame, rules: DataFrame, first: int = 10) -> DataFrame:
     """(path, sheet, row_no) of header rows among the first rows: one cell maps to a primary field, no cell holds a
     price, the row is no remark."""
-    top = map_headers(cells.where(F.col("row_no") <= first), "value", rules)
-    number = F.when(F.col("kind") == "n", F.col("value").try_cast("double") > 1000) if "kind" in cells.columns else F.lit(None).cast("boolean")
+    return _header_rows(map_headers(cells.where(F.col("row_no") <= first), "value", rules))
+
+
+def _header_rows(top: DataFrame) -> DataFrame:
+    """The same for the first rows' cells with their fields."""
+    number = F.when(F.col("kind") == "n", F.col("value").try_cast("double") > 1000) if "kind" in top.columns else F.lit(None).cast("boolean")
     price = F.coalesce(number, F.col("value").rlike(r"\d{5,6}"))
     remark = F.col("value").rlike(fixed.HEADER_REMARK)
     flags = top.groupBy(*SHEET, "row_no").agg(F.max(F.coalesce(price, F.lit(False))).alias("p"), F.max(F.coalesce(remark, F.lit(False))).alias("n"), F.max(F.coalesce(F.col("field").isin(*fixed.PRIMARY_FIELDS), F.lit(False))).alias("h"))
     return flags.where("h and not p and not n").select(*SHEET, "row_no")
 
 
-def header_map(cells: DataFrame, rules: DataFrame) -> DataFrame:
+def header_map(cells: DataFrame, rules: DataFrame, first: int = 10) -> DataFrame:
     """(path, sheet, col_no, field, raw, last_row): header rows merged, later rows win; of several model columns the
     second and later are variants."""
-    heads = cells.join(header_rows(cells, rules), [*SHEET, "row_no"])
-    mapped = map_headers(heads, "value", rules)
+    top = written(map_headers(cells.where(F.col("row_no") <= first), "value", rules), "top-cells")
+    mapped = top.join(_header_rows(top), [*SHEET, "row_no"])
     cols = mapped.groupBy(*SHEET, "col_no").agg(F.max_by("field", F.when(F.col("field").isNotNull(), F.col("row_no"))).alias("field"), F.max_by(strip(F.col("value")), F.when(F.col("value").isNotNull(), F.col("row_no"))).alias("raw"), F.max("row_no").alias("_last"))
     sheet, model = Window.partitionBy(*SHEET), F.col("field").isin("modelName", "model")
     rank = F.row_number().over(Window.partitionBy(*SHEET, model).orderBy("col_no"))
@@ -77,16 +82,39 @@ def data_rows(texts: DataFrame) -> DataFrame:
     return texts.where((t != "") & ~t.rlike(fixed.ROW_REMARK) & ~F.lower(t).rlike(any_of(fixed.SUMMARY_WORDS)))
 
 
+#: Sheets up to which their columns are sent to every task; beyond, rows are shuffled to their sheet's.
+BROADCAST_SHEETS = 10_000
+
+
+def _sheet_columns(headers: DataFrame) -> DataFrame:
+    """One row per sheet: its columns as a map, the last header row, whether two columns have one name, and what its path says."""
+    named = F.when(F.col("raw") != "", F.col("raw"))
+    sheets = headers.groupBy(*SHEET).agg(F.map_from_entries(F.collect_list(F.struct("col_no", F.struct("field", "raw").alias("h")))).alias("_heads"), F.max("last_row").alias("_last"), (F.count(named) > F.count_distinct(named)).alias("_twice"))
+    sheets = written(sheets.withColumn("_meta", path_metadata(F.col("path"))), "sheets")
+    return F.broadcast(sheets) if sheets.count() <= BROADCAST_SHEETS else sheets
+
+
+def _last_of(field: str) -> Column:
+    """The rightmost cell of a field."""
+    return F.try_element_at(F.filter("_named", lambda x: x["h"]["field"] == field), F.lit(-1))["v"]
+
+
 def pivot_rows(cells: DataFrame, headers: DataFrame) -> DataFrame:
     """One row per data row: a column for each known field (the rightmost cell wins; path metadata fills supplier,
-    location, brand and model), and raw_entries of raw header and cell, the first of a name, in column order."""
-    rows = data_rows(row_texts(cells.join(headers.select(*SHEET, "last_row").distinct(), SHEET).where("row_no > last_row"))).select(*SHEET, "row_no")
-    body = cells.join(rows, [*SHEET, "row_no"]).join(headers, [*SHEET, "col_no"]).where("value is not null")
-    fields = body.groupBy(*SHEET, "row_no").pivot("field", list(FIELDS)).agg(F.max_by("value", "col_no"))
-    first = body.where("raw <> ''").groupBy(*SHEET, "row_no", "raw").agg(F.min(F.struct("col_no", "value")).alias("x"))
-    entries = first.where(~F.col("raw").isin(*FIELDS)).groupBy(*SHEET, "row_no").agg(F.array_sort(F.collect_list(F.struct("x.col_no", F.col("raw").alias("k"), F.col("x.value").alias("v")))).alias("e"))
-    entries = entries.select(*SHEET, "row_no", F.transform("e", lambda e: F.struct(e["k"].alias("k"), e["v"].alias("v"))).alias("raw_entries"))
-    out = fields.join(entries, [*SHEET, "row_no"], "left").withColumn("_meta", path_metadata(F.col("path")))
+    location, brand and model), and raw_entries of raw header and cell, the first of a name, in column order.
+
+    Cells are grouped once, into the rows' arrays; all else happens inside a row."""
+    given = F.when(F.col("value").isNotNull(), F.struct("col_no", "value"))
+    rows = cells.groupBy(*SHEET, "row_no").agg(F.array_sort(F.collect_list(given)).alias("_cells"))
+    rows = rows.join(_sheet_columns(headers), SHEET).where("row_no > _last")
+    rows = data_rows(rows.withColumn("text", F.trim(F.array_join(F.transform("_cells", lambda c: c["value"]), " "))))
+    named = F.transform("_cells", lambda c: F.struct(F.try_element_at("_heads", c["col_no"]).alias("h"), c["value"].alias("v")))
+    rows = rows.withColumn("_named", F.filter(named, lambda x: x["h"].isNotNull())).where(F.size("_named") > 0)
+    mine = F.filter("_named", lambda x: (x["h"]["raw"] != "") & ~x["h"]["raw"].isin(*FIELDS))
+    names = F.transform("_named", lambda x: F.when(~x["h"]["raw"].isin(*FIELDS), x["h"]["raw"]))
+    first = F.filter(F.filter("_named", lambda x, i: F.array_position(names, x["h"]["raw"]) == i + 1), lambda x: (x["h"]["raw"] != "") & ~x["h"]["raw"].isin(*FIELDS))
+    entries = F.transform(F.when(F.col("_twice"), first).otherwise(mine), lambda x: F.struct(x["h"]["raw"].alias("k"), x["v"].alias("v")))
+    out = rows.select(*SHEET, "row_no", *[_last_of(f).alias(f) for f in FIELDS], F.when(F.size(entries) > 0, entries).alias("raw_entries"), "_meta")
     unknown = F.coalesce(strip(F.col("supplier")).isin("", *fixed.UNKNOWN_NAMES), F.lit(True))
     out = out.withColumn("supplier", F.when(unknown & F.col("_meta.supplier").isNotNull(), F.col("_meta.supplier")).otherwise(F.col("supplier")))
     for c in ("location", "brand", "model"):
@@ -163,10 +191,10 @@ def text_rows(texts: DataFrame) -> DataFrame:
 def parse_cells(cells: DataFrame, rules: DataFrame) -> DataFrame:
     """Rows of all sheets, each parsed by its kind: vertical table, table with headers, or text."""
     keys = [c for c in (*SHEET, "row_no", "col_no", "value", "kind") if c in cells.columns]
-    used = select_sheets(cells).select(*keys)
-    upright = vertical_sheets(used)
+    used = written(select_sheets(cells).select(*keys), "used-cells")
+    upright = written(vertical_sheets(used), "upright-sheets")
     flat = used.join(upright, SHEET, "left_anti")
-    headers = header_map(flat, rules)
+    headers = written(header_map(flat, rules), "headers")
     headed = headers.select(*SHEET).distinct()
     out = pivot_rows(flat, headers)
     out = out.unionByName(pivot_vertical(used.join(upright, SHEET, "left_semi"), rules), allowMissingColumns=True)
