@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .. import fixed, registry, rules
 from ..functions import color, dates, location, numbers, price, state, text, variant
 from ..materialize import shared_folder, written
-from ..operators import candidates, changes, grid, identity, matching, staging, validation
+from ..operators import candidates, changes, deltas, grid, identity, matching, staging, validation
 from ..sources import csv_text, files, records, workbooks
 from ..streaming import jobs as streams
 from . import jobs
@@ -444,6 +444,36 @@ def rule_index(spark, sf_dir):
     return matching.first_match_join(k, ["told"], r, lambda: F.col("told").contains(F.col("pattern")), ["named"], within=[(["told"], F.col("pattern"))], most=0)
 
 
+_CHANGED = """CASE WHEN id % 1000 = 7 THEN NULL WHEN id % 10 = 3 AND round_ >= 2 THEN concat('again ', CAST(id AS VARCHAR(20))) WHEN id % 5 = 3 THEN concat('edit ', CAST(id AS VARCHAR(20))) ELSE model END"""
+
+
+@query(f"""WITH b AS (SELECT row_number() OVER (ORDER BY o_orderkey) AS id, o_orderpriority AS model, CAST(floor(o_totalprice) AS BIGINT) AS qty FROM orders), r(round_) AS (VALUES (1), (2), (3))
+ SELECT round_, id, {_CHANGED.replace("id % 1000 = 7", "id % 1000 = 7 AND round_ >= 2")} AS model, CASE WHEN id % 5 = 3 AND round_ >= 2 AND id % 10 = 3 THEN NULL ELSE qty END AS qty FROM b, r WHERE NOT (id % 7 = 1 AND round_ >= 2)""")
+def edits_at_read(spark, sf_dir):
+    """Staged orders with edits and deletes that are merged when the table is read: after the first edits, after more
+    of them (later ones win, a value is cleared, a text that is no number clears one) and deletes, and after they have been
+    written into a new version"""
+    store = jobs.Store(spark, shared_folder(spark, "changes"))
+    schema = "id long, model string, qty long"
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderpriority").alias("model"), F.floor("o_totalprice").cast("long").alias("qty"))
+    store.replace("t", staging.with_ids(o, 0, ["o_orderkey"]).select("id", "model", "qty"))
+    ids = store.read("t", schema).select("id")
+    edit = lambda where, key, value: ids.where(where).select("id", F.lit(key).alias("key"), value.alias("value"))
+    text = lambda word: F.concat(F.lit(f"{word} "), F.col("id").cast("string"))
+    store.change("t", schema, lambda n: deltas.edit_changes(edit("id % 5 = 3", "model", text("edit")), n))
+    first = written(store.read("t", schema), "round")
+    later = edit("id % 10 = 3", "model", text("again")).unionByName(edit("id % 10 = 3", "qty", F.lit("none"))).unionByName(edit("id % 1000 = 7", "model", F.lit(None).cast("string")))
+    store.change("t", schema, lambda n: deltas.edit_changes(later, n))
+    store.change("t", schema, lambda n: deltas.drop_changes(ids.where("id % 7 = 1"), n))
+    second = written(store.read("t", schema), "round")
+    store.change("t", schema, lambda n: deltas.edit_changes(edit("id = -1", "model", F.lit("nobody")), n), most=4)
+    out = None
+    for i, t in enumerate((first, second, store.read("t", schema)), 1):
+        t = t.select(F.lit(i).alias("round_"), "id", "model", "qty")
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
 @query("""WITH r AS (SELECT s_name AS pattern, 'fixed-' || s_suppkey AS target, 'model' AS field FROM supplier WHERE s_suppkey % 2 = 0)
  SELECT c_custkey, coalesce(r.target, x.n) AS model, c_mktsegment FROM (SELECT c_custkey, replace(c_name, 'Customer', 'Supplier') AS n, c_mktsegment FROM customer) x LEFT JOIN r ON x.n = r.pattern""")
 def learned_overrides(spark, sf_dir):

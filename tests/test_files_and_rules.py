@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyforge import rules
 from tallyforge.functions import dates
-from tallyforge.operators import durable_ids, identity, matching, staging, substrings
+from tallyforge.operators import deltas, durable_ids, identity, matching, staging, substrings
 from tallyforge.plans import jobs
 from tallyforge.registry import staged_schema
 from tallyforge.sources import csv_text, files, workbooks
@@ -186,3 +186,30 @@ def test_the_last_edit_is_the_rule(spark, tmp_path):
     assert learned["A"][0] == "last" and learned["B6"][0] == "B7" and learned[""][0] == "C" and "last" not in learned
     assert len({o for _, o in learned.values()}) == len(learned) and max(o for _, o in learned.values()) < 20
     assert not re.search("1[0-9]{6,}", str(learned))
+
+
+def test_changes_merged_at_read(spark, tmp_path):
+    """Random edits and deletes over base and deltas, with a compaction in between, against the same edits on a list."""
+    rng = random.Random(6)
+    schema = "id long, a string, n long, status string"
+    rows = {i: {"a": f"a{i}", "n": i, "status": "pending"} for i in range(1, 40)}
+    store = jobs.Store(spark, str(tmp_path))
+    store.replace("t", spark.createDataFrame([(i, *r.values()) for i, r in rows.items()], schema))
+    for step in range(7):
+        if step in (2, 5):
+            gone = rng.sample(range(1, 45), 5)
+            store.change("t", schema, lambda n, gone=gone: deltas.drop_changes(spark.createDataFrame([(i,) for i in [*gone, None]], "id long"), n), most=4)
+            rows = {i: r for i, r in rows.items() if i not in gone}
+        else:
+            edits = [(rng.randrange(1, 45), k, v, o) for o, (k, v) in enumerate(rng.choices([("a", "x"), ("a", None), ("n", "7"), ("n", "many"), ("status", "synced"), ("nope", "y")], k=60))]
+            store.change("t", schema, lambda n, edits=edits: deltas.edit_changes(spark.createDataFrame(edits, "id long, key string, value string, ord int"), n), most=4)
+            for i, k, v, _ in edits:
+                if i in rows and k in rows[i]:
+                    rows[i][k] = v if k != "n" or v is None else int(v) if v.isdigit() else None
+        if step == 3:
+            store.append("t", spark.createDataFrame([(100, "late", 1, "pending")], schema))
+            rows[100] = {"a": "late", "n": 1, "status": "pending"}
+    assert {r.id: {"a": r.a, "n": r.n, "status": r.status} for r in store.read("t", schema).collect()} == rows
+    assert max(v for v, _ in store._parts("t")) > 1
+    store.change("missing", schema, lambda n: deltas.drop_changes(spark.createDataFrame([(1,)], "id long"), n))
+    assert store.read("missing", schema).count() == 0
