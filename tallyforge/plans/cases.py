@@ -12,6 +12,7 @@ from ..materialize import shared_folder, written
 from ..operators import candidates, changes, deltas, grid, identity, matching, staging, validation
 from ..sources import csv_text, files, records, workbooks
 from ..streaming import jobs as streams
+from ..streaming import versions
 from . import jobs
 from .offers import KEY
 from .offers import SQL as OFFERS_SQL
@@ -474,6 +475,25 @@ def edits_at_read(spark, sf_dir):
     return out
 
 
+@query("""WITH e AS (SELECT *, lag(event_type) OVER w AS t, lag(CAST(floor(value) AS BIGINT)) OVER w AS v, row_number() OVER w AS n FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
+ SELECT user_id, event_id, 'event_type' AS field, t AS old_value, event_type AS new_value FROM e WHERE n > 1 AND event_id % 5 <> 0 AND t IS DISTINCT FROM event_type
+ UNION ALL SELECT user_id, event_id, 'value', CAST(v AS VARCHAR), CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) FROM e WHERE n > 1 AND event_id % 5 <> 0 AND v IS DISTINCT FROM CAST(floor(value) AS BIGINT)""")
+def stream_versions(spark, sf_dir):
+    """Events as versions of their users, in three files that are three batches; each version is compared with the one
+    before it, in whichever batch that was; every fifth is not approved"""
+    versions.use_state_store(spark)
+    root = shared_folder(spark, "versions")
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", F.concat(F.lit(" "), "event_type").alias("event_type"), F.floor("value").cast("long").alias("value"))
+    third = e.agg(F.max("event_id")).first()[0] // 3 + 1
+    for i in range(3):
+        e.where(F.floor(F.col("event_id") / third) == i).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    source = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    feed = versions.version_changes(source, "user_id", "event_id", ["event_type", "value"], F.col("event_id") % 5 != 0)
+    feed.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).format("parquet").option("path", f"{root}/out").start().awaitTermination()
+    out = spark.read.schema(versions.CHANGE).parquet(f"{root}/out")
+    return out.select(F.col("key").cast("long").alias("user_id"), F.col("ord").cast("long").alias("event_id"), "field", "old_value", "new_value")
+
+
 @query("""WITH r AS (SELECT s_name AS pattern, 'fixed-' || s_suppkey AS target, 'model' AS field FROM supplier WHERE s_suppkey % 2 = 0)
  SELECT c_custkey, coalesce(r.target, x.n) AS model, c_mktsegment FROM (SELECT c_custkey, replace(c_name, 'Customer', 'Supplier') AS n, c_mktsegment FROM customer) x LEFT JOIN r ON x.n = r.pattern""")
 def learned_overrides(spark, sf_dir):
