@@ -494,6 +494,27 @@ def stream_versions(spark, sf_dir):
     return out.select(F.col("key").cast("long").alias("user_id"), F.col("ord").cast("long").alias("event_id"), "field", "old_value", "new_value")
 
 
+@query("""SELECT 'part_no=' || (s_suppkey % 6) AS supplier, 'BYD' AS brand, CASE WHEN s_suppkey % 2 = 0 THEN 'Dolphin' ELSE 'Seagull' END AS model, 9000 + s_suppkey AS cost_exw_usd, 'pending' AS status, true AS in_ledger FROM supplier""")
+def stream_store(spark, sf_dir):
+    """Price sheets of suppliers as a stream of files, in two batches through the whole normalisation into
+    the staged table and the ledger; the first batch is run twice and changes nothing the second time"""
+    root = shared_folder(spark, "stream")
+    s = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 6).alias("part_no"), F.lit("BYD").alias("品牌"), F.when(F.col("s_suppkey") % 2 == 0, "海豚").otherwise("Seagull").alias("车型"), F.concat(F.lit("$"), (F.lit(9000) + F.col("s_suppkey")).cast("string")).alias("EXW"))
+    s.repartition(6, "part_no").write.partitionBy("part_no").option("header", True).csv(f"{root}/input")
+    store = jobs.Store(spark, f"{root}/tables")
+    write = jobs.ingest(store, now=F.lit("2026-01-02").cast("timestamp"))
+
+    def twice(batch: DataFrame, number: int) -> None:
+        write(batch, number)
+        if number == 0:
+            write(batch, number)
+
+    streams.run_available(streams.new_files(spark, f"{root}/input", 3), f"{root}/checkpoint", twice).awaitTermination()
+    staged, ledger = store.read("staged", registry.staged_schema()), store.read("ledger", jobs.LEDGER)
+    known = ledger.select("content_hash").withColumn("in_ledger", F.lit(True))
+    return staged.join(known, "content_hash", "left").select("supplier", "brand", "model", "cost_exw_usd", "status", F.coalesce("in_ledger", F.lit(False)).alias("in_ledger"))
+
+
 @query("""WITH r AS (SELECT s_name AS pattern, 'fixed-' || s_suppkey AS target, 'model' AS field FROM supplier WHERE s_suppkey % 2 = 0)
  SELECT c_custkey, coalesce(r.target, x.n) AS model, c_mktsegment FROM (SELECT c_custkey, replace(c_name, 'Customer', 'Supplier') AS n, c_mktsegment FROM customer) x LEFT JOIN r ON x.n = r.pattern""")
 def learned_overrides(spark, sf_dir):
@@ -571,7 +592,7 @@ def harvest_counters(spark, sf_dir):
     return changes.harvest_counts(e, state.is_approved(F.array("state")), ["event_type"])
 
 
-_NESTED = """concat('{{"confidence":', CAST(k AS VARCHAR(9)), ',"a":[{{"score":', CAST(k * 2 AS VARCHAR(9)), ',"note":"\\\\"confidence\\\\": 900"}},[{{"b":{{"prob":', CAST(event_id % 7 AS VARCHAR(9)), ',"confidence":"high"}}}}]],"scores":1}}')"""
+_NESTED = """concat('{{"confidence":', CAST(k AS VARCHAR(9)), ',"a":[{{"s\\\\u0063ore":', CAST(k * 2 AS VARCHAR(9)), ',"note":"\\\\"confidence\\\\": 900"}},[{{"b":{{"prob":', CAST(event_id % 7 AS VARCHAR(9)), ',"confidence":"high"}}}}]],"scores":1}}')"""
 
 
 @query("""SELECT event_id, CASE WHEN event_id % 5 = 4 THEN 1.0 ELSE (k + k * 2 + event_id % 7) / 3.0::DOUBLE END AS confidence FROM (SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)""")
@@ -607,6 +628,7 @@ CANDIDATES = f"""WITH {OFFERS_SQL}, r AS (SELECT {K}, supplier, qty, colour_text
  once AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY supplier, brand, model, coalesce(ext, ''), coalesce(int_, ''), stock, guide, exw, fob, fca, coalesce(place, '') ORDER BY {K}, split_no) = 1),
  bare AS (SELECT *, coalesce(guide, exw, fob, fca) IS NULL AND ext IS NULL AS is_bare FROM once),
  folded AS (SELECT * FROM bare QUALIFY NOT is_bare OR row_number() OVER (PARTITION BY is_bare, supplier, brand, model ORDER BY {K}, split_no) = 1)
- SELECT brand, model, model_id, CASE WHEN wait_text = '现车' THEN '现车' WHEN wait_text = '' THEN '无具体信息' ELSE '在途' END AS status_vehicle, place AS location, count(*) AS n, CAST(sum(stock) AS BIGINT) AS stock, CAST(sum(exw) AS BIGINT) AS exw
- FROM folded JOIN ids USING (brand, model) GROUP BY ALL"""
+ SELECT {K}, CAST(split_no - 1 AS INT) AS split_no, supplier, brand, model, model_id, CASE WHEN wait_text = '现车' THEN '现车' WHEN wait_text = '' THEN '无具体信息' ELSE '在途' END AS status_vehicle, place AS location, guide AS supplier_price_cny,
+  exw AS cost_exw_usd, fca AS cost_fca_usd, fob AS cost_fob_usd, stock AS stock_quantity, ext AS exterior_color, int_ AS interior_color
+ FROM folded JOIN ids USING (brand, model)"""
 query(CANDIDATES)(candidates_full)

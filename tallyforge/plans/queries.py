@@ -624,13 +624,14 @@ def first_valid_attempt(spark, sf_dir):
 
 
 def candidates_full(spark, sf_dir):
-    """The whole normalisation over all offers: candidates by brand, model and status"""
+    """The whole normalisation over all offers: every candidate"""
     o = offers(spark, sf_dir).select(
         *KEY, "supplier", F.col("raw_brand").alias("brand"), F.col("raw_model").alias("modelName"), F.col("price_text").alias("priceExw"), F.col("location_text").alias("location"), F.col("colour_text").alias("exteriorColor"),
         F.col("wait_text").alias("orderWaitDays"), F.col("qty").cast("string").alias("stockQuantity"),
     )
     out = candidates.format_candidates(o, rules.brand_names(spark), rules.brand_models(spark), rules.code_prefixes(spark), rules.valid_brands(spark), order=KEY)
-    return out.groupBy("brand", "model", "model_id", "status_vehicle", "location").agg(F.count("*").alias("n"), F.sum("stock_quantity").alias("stock"), F.sum("cost_exw_usd").alias("exw"))
+    given = ("supplier", "brand", "model", "model_id", "status_vehicle", "location", "supplier_price_cny", "cost_exw_usd", "cost_fca_usd", "cost_fob_usd", "stock_quantity", "exterior_color", "interior_color")
+    return out.select(*KEY, "split_no", *given)
 
 
 # ---- streams

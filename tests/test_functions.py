@@ -77,6 +77,8 @@ def test_confidence_and_approval(spark):
     df = spark.createDataFrame([(["opt-1"],), (["未通过"],), (["no"],), (None,)], "x array<string>").coalesce(1)
     assert [r[0] for r in df.select(state.is_approved(F.col("x"), ("opt-1",))).collect()] == [True, True, False, False]
     assert values(spark, state.json_confidence(F.col("x")), ['{"a":[{"confidence":0.5},{"score":1}]}', "{}"]) == [0.75, 1.0]
+    walked = ['{"\\u0063onfidence":0.2}', '{"prob":true,"x":{"score":false}}', '{"confidence":{"score":0.4,"n":"\\"prob\\": 9"}}', '{"confidence":"0.1","score":1e-1}', '[{"score":-2},{"scores":5}]', 'broken {"score": 0.5}', None]
+    assert values(spark, state.json_confidence(F.col("x")), walked)[:6] == [0.2, 0.5, 0.4, 0.1, -2.0, 0.5]
 
 
 def test_availability(spark):
