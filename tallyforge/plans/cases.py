@@ -515,6 +515,64 @@ def stream_store(spark, sf_dir):
     return staged.join(known, "content_hash", "left").select("supplier", "brand", "model", "cost_exw_usd", "status", F.coalesce("in_ledger", F.lit(False)).alias("in_ledger"))
 
 
+@query("""WITH o AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS i FROM orders WHERE o_orderkey % 4 <> 0)
+ SELECT CAST(floor((i - 1) / 100) AS BIGINT) AS batch_no, count(*) AS n, count(*) FILTER (o_orderkey % 7 = 0) AS n_empty, count(*) AS n_synced FROM o GROUP BY 1""")
+def sync_outcomes(spark, sf_dir):
+    """Pending orders published in batches of 100, a protected target refused; rows and empty records of
+    each batch, and how many of its rows are marked synced in the staged table"""
+    root = shared_folder(spark, "sync")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.expr("o_orderkey % 7 <> 0"), F.col("o_orderpriority")).alias("supplier"), F.when(F.expr("o_orderkey % 4 = 0"), "synced").otherwise("pending").alias("status"))
+    store = jobs.Store(spark, f"{root}/tables")
+    staged = staging.with_ids(o, 0, ["o_orderkey"]).drop("o_orderkey")
+    store.replace("staged", staging.evolve(spark.createDataFrame([], registry.staged_schema()), staged))
+    target, now = f"{root}/payload", F.lit("2026-01-02 03:04:05").cast("timestamp")
+    try:
+        jobs.sync(store, target, now, protected=(target,))
+        raise AssertionError("a protected target was written to")
+    except PermissionError:
+        outcome = jobs.sync(store, target, now)
+    marked = store.read("staged", registry.staged_schema()).where("status = 'synced'").select("id")
+    synced = spark.read.parquet(target).join(marked, "id", "left_semi").groupBy("batch_no").agg(F.count("*").alias("n_synced"))
+    return outcome.join(synced, "batch_no", "left").select("batch_no", "n", "n_empty", F.coalesce("n_synced", F.lit(0).cast("long")).alias("n_synced"))
+
+
+@query("""WITH p AS (SELECT p_partkey, 'old ' || p_brand AS old, 'new ' || p_brand || '-' || p_size AS new FROM part WHERE p_partkey % 3 = 0)
+ SELECT 'model' AS field, old AS raw_pattern, arg_max(new, p_partkey) AS target_value, arg_min(p_partkey, p_partkey)::VARCHAR AS context FROM p GROUP BY old""")
+def harvest_rules(spark, sf_dir):
+    """Approved edits of parts against the newest of two snapshots become stored rules: of each old value the
+    last target, with the first record that told it; harvested twice, they stay as they are"""
+    p = table(spark, sf_dir, "part")
+    old = p.select(F.col("p_partkey").alias("record_id"), F.concat(F.lit("old "), "p_brand").alias("model"), F.lit(2).alias("snapshot_ts"))
+    now = p.select(F.col("p_partkey").alias("record_id"), F.concat(F.lit("new "), "p_brand", F.lit("-"), F.col("p_size").cast("string")).alias("model"), F.when(F.expr("p_partkey % 3 = 0"), "已通过").otherwise("pending").alias("state"))
+    snapshots = old.unionByName(old.withColumn("model", F.lit("older")).withColumn("snapshot_ts", F.lit(1)))
+    store = jobs.Store(spark, shared_folder(spark, "harvest"))
+    for _ in range(2):
+        jobs.harvest(store, now, snapshots, "state", F.lit(3))
+    return store.read("rules", jobs.RULES).select("field", "raw_pattern", "target_value", "context")
+
+
+@query("""SELECT c_custkey, c_name AS supplier, CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS notes, c_nationkey AS qty FROM customer""")
+def json_sink(spark, sf_dir):
+    """Customers written as JSON lines, twice over, and read again; blanks stay out"""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("supplier"), F.when(F.expr("c_custkey % 3 <> 0"), F.col("c_mktsegment")).alias("notes"), F.col("c_nationkey").cast("long").alias("qty"))
+    path = shared_folder(spark, "json")
+    records.write_json(rows.limit(1), path)
+    records.write_json(rows, path)
+    return records.read_json_array(spark, path, rows.schema)
+
+
+@query("""SELECT 'N' || c_nationkey || '.xlsx' AS file, c_nationkey % 3 = 0 AS bad, CASE WHEN c_nationkey % 3 = 0 THEN 0 ELSE count(*) END AS n_cells FROM customer GROUP BY c_nationkey""")
+def bad_files(spark, sf_dir):
+    """Customers as a workbook for each nation, every third of them cut short: a damaged file is an error and gives no cells,
+    the others are read"""
+    c = table(spark, sf_dir, "customer")
+    cells = c.select(F.concat(F.lit("N"), F.col("c_nationkey").cast("string"), F.lit(".xlsx")).alias("path"), F.lit("s").alias("sheet"), F.lit(1).alias("sheet_no"), F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey")).alias("row_no"), F.lit(1).alias("col_no"), F.col("c_name").alias("value"), F.lit("s").alias("kind"))
+    books = workbooks.to_workbooks(cells).withColumn("n", F.regexp_extract("path", "[0-9]+", 0).cast("int"))
+    cut = F.when(F.expr("n % 3 = 0"), F.expr("substring(content, 1, length(content) DIV 2)")).otherwise(F.col("content"))
+    read = files.read_cells(files.fingerprinted(books.withColumn("content", cut).withColumn("length", F.length("content"))))
+    return read.groupBy(F.col("path").alias("file")).agg(F.max(F.col("error").isNotNull()).alias("bad"), F.count("value").alias("n_cells"))
+
+
 @query("""WITH r AS (SELECT s_name AS pattern, 'fixed-' || s_suppkey AS target, 'model' AS field FROM supplier WHERE s_suppkey % 2 = 0)
  SELECT c_custkey, coalesce(r.target, x.n) AS model, c_mktsegment FROM (SELECT c_custkey, replace(c_name, 'Customer', 'Supplier') AS n, c_mktsegment FROM customer) x LEFT JOIN r ON x.n = r.pattern""")
 def learned_overrides(spark, sf_dir):
