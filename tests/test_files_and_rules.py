@@ -213,3 +213,29 @@ def test_changes_merged_at_read(spark, tmp_path):
     assert max(v for v, _ in store._parts("t")) > 1
     store.change("missing", schema, lambda n: deltas.drop_changes(spark.createDataFrame([(1,)], "id long"), n))
     assert store.read("missing", schema).count() == 0
+
+
+def test_writers_at_the_same_time_lose_nothing(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    store = jobs.Store(spark, str(tmp_path))
+    store.replace("t", spark.createDataFrame([(0,)], "id long"))
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: store.append("t", spark.range(100 * i, 100 * i + 10)), range(1, 7)))
+    assert store.read("t", "id long").distinct().count() == 61
+    assert len({k for _, k in store._parts("t")}) == 7
+
+
+def test_a_token_is_added_once(spark, tmp_path):
+    store = jobs.Store(spark, str(tmp_path))
+    for n in (3, 5):
+        store.append("t", spark.range(n), "batch-0")
+    assert store.read("t", "id long").count() == 3
+    version, number = store._token("t", "batch-0")
+    (tmp_path / "t" / f"v={version}" / f"add={number}" / "_SUCCESS").unlink()  # as if the writer had been lost on the way
+    store.append("t", spark.range(10, 15), "batch-0")
+    store.append("t", spark.range(20, 22), "batch-1")
+    assert sorted(r.id for r in store.read("t", "id long").collect()) == [10, 11, 12, 13, 14, 20, 21]
+    store.replace("t", store.read("t", "id long"))
+    store.append("t", spark.range(10, 15), "batch-0")
+    assert store.read("t", "id long").count() == 7
