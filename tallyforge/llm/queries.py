@@ -122,5 +122,6 @@ ORACLE_SQL: dict[str, str] = {
     "op9_embedding_near_dedup": embeddings.SQL,
     "op10_benchmark_decontamination": decontaminate.SQL,
     "op11_importance_resampling": resample.SQL,
+    "op12_url_filter": urls.SQL,
     "op13_fill_in_middle": fim.SQL,
 }
