@@ -107,7 +107,8 @@ def test_incremental_ingest(spark, tmp_path):
 
 
 NAMES = ("to_number", "date_normalise", "trade_price_usd", "price_ladder", "brand_translate", "model_map", "location_canon", "header_map", "colour_explode", "priceless_collapse", "model_ids", "apply_edits", "snapshot_diff", "rule_upsert", "telemetry", "first_valid_attempt", "stream_dedup", "year_month", "path_meta",
-    "sheet_select", "text_rows_kept", "listing_fields", "guide_price", "price_keys", "noise_rows", "model_in_brand", "official_names", "variant_lookup", "payload_keys", "learned_overrides", "rules_file", "json_walk", "stage_append", "latest_snapshot", "sinks_read_back", "variant_choice")
+    "sheet_select", "text_rows_kept", "listing_fields", "guide_price", "price_keys", "noise_rows", "model_in_brand", "official_names", "variant_lookup", "payload_keys", "learned_overrides", "rules_file", "json_walk", "stage_append", "latest_snapshot", "sinks_read_back", "variant_choice",
+    "rule_index", "csv_lines", "edits_at_read", "harvest_rules", "bad_files", "json_sink")
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
