@@ -19,6 +19,8 @@ TREES = 6
 #: Vectors that the first splits are fitted on at most; all vectors are indexed. Leaves that are still too large grow on by
 #: samples of their own.
 MAX_SAMPLE = 20_000
+#: Bytes of components that the first splits are fitted on at most: 20 000 vectors of up to 1600 components, fewer beyond.
+SAMPLE_BYTES = 256_000_000
 #: Vectors of one leaf aimed at.
 LEAF = 1500
 #: Vectors that a leaf's own splits are fitted on, in each round of growth.
@@ -101,11 +103,11 @@ def _units(column: pa.Array) -> np.ndarray:
 
 
 def fit_forest(vectors: DataFrame, trees: int = TREES, leaf: int = LEAF, most: int = MAX_SAMPLE) -> tuple[list[Node], int]:
-    """Trees over a sample of at most ``most`` vectors (the first by hash), and the dimension they split."""
+    """Trees over a sample of at most ``most`` vectors (the first by hash) and ``SAMPLE_BYTES``, and the dimension they split."""
     dims = vectors.groupBy(F.size("v").alias("d")).count().orderBy(F.col("count").desc(), "d").first()
     if dims is None:
         return [], 0
-    picked = vectors.where(F.size("v") == dims["d"]).orderBy(F.xxhash64("node")).limit(most).select("v").toArrow()
+    picked = vectors.where(F.size("v") == dims["d"]).orderBy(F.xxhash64("node")).limit(max(1000, min(most, SAMPLE_BYTES // (8 * dims["d"])))).select("v").toArrow()
     sample = _units(picked.column("v").combine_chunks())
     size, roots, free = max(32.0, leaf * min(1.0, len(sample) / dims["count"])), [], 1
     for t in range(trees):
@@ -115,7 +117,7 @@ def fit_forest(vectors: DataFrame, trees: int = TREES, leaf: int = LEAF, most: i
 
 
 def _with_leaves(forest):
-    """Rows (grp, node, copies, leaves, v): each vector with the leaves it falls into; leaf 0: another dimension."""
+    """Rows (grp, node, copies, leaves, v): each vector with the leaves it falls into; leaf 0: another dimension (``_rooted``)."""
 
     def run(batches):
         roots, dim = forest.value
@@ -166,6 +168,19 @@ def _descend(batches):
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in out], ["grp", "leaf", "node"])
 
 
+def _rooted(base: DataFrame, trees: int, leaf: int) -> DataFrame:
+    """``base`` with as many roots as trees (-1, -2, ...) for groups of more than ``leaf`` vectors that the first splits don't fit.
+
+    They are of another dimension than most. Their trees grow as other large leaves do, each by samples of its own.
+    """
+    zero = F.col("leaves")[0] == 0
+    large = base.where(zero).groupBy("grp").count().where(F.col("count") > leaf).select("grp", F.lit(True).alias("rooted"))
+    if large.isEmpty():
+        return base
+    roots = F.when(F.col("rooted") & zero, F.array(*[F.lit(-t).cast("long") for t in range(trees, 0, -1)])).otherwise(F.col("leaves"))
+    return staged(base.join(for_join(large, "rooted"), "grp", "left").withColumn("leaves", roots).drop("rooted"), "leaves")
+
+
 def _grown(base: DataFrame, leaf: int, sample: int = LEAF_SAMPLE) -> DataFrame:
     """``base`` with the leaves grown on until none holds more than ``leaf`` vectors of a label, or no split parts it.
 
@@ -284,10 +299,11 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     used = rows.where(good).select(F.col("id").cast("long").alias("id"), *key, "v")
     folded = used.groupBy("grp", "h1", "h2").agg(F.min("id").alias("node"), F.count("id").alias("copies"))
     nodes = staged(used.join(folded.select("node", "copies"), used["id"] == F.col("node")).select("grp", "h1", "h2", "node", "copies", "v"), "vectors")
+    grown = grown or leaf
     forest = table.sparkSession.sparkContext.broadcast(fit_forest(nodes, trees, leaf, most))
     kind = dict(nodes.dtypes)["v"]
     base = nodes.select("grp", "node", "copies", "v").mapInArrow(_with_leaves(forest), f"grp long, node long, copies long, leaves array<long>, v {kind}")
-    leafed = _grown(staged(base, "leaves"), grown or leaf)
+    leafed = _grown(_rooted(staged(base, "leaves"), trees, grown), grown)
     keyed = _dealt(leafed, block).select("grp", "leaf", "pair", "own", "node", "copies", "leaves", "v")
     keyed = keyed.repartition("grp", "leaf", "pair").sortWithinPartitions("grp", "leaf", "pair")
     found = staged(keyed.mapInArrow(_compare(cosine), "src long, dst long, n long"), "vector-links")
