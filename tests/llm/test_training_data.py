@@ -173,6 +173,30 @@ def test_large_groups_lose_no_link(spark):
     assert len(set(want)) > 5 and max(Counter(want).values()) > 40
 
 
+def test_pages_of_one_pool_cost_their_size(spark):
+    """Pages made of one pool of sentences form one candidate group, but few of them are near copies."""
+    rng = random.Random(8)
+    pool = [prose(rng, 10) for _ in range(60)]
+    texts = [" ".join(rng.sample(pool, 6)) for _ in range(1500)]
+    texts += [t + " " + prose(rng, 3) for t in texts[:40]] + [f"{texts[50]} {i} {i + 1}" for i in range(60)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], DOCS)
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    near = [(a, b) for a in range(len(texts)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    want = union(len(texts), near)
+    nodes = dedup_stage.staged(df.select(F.col("doc_id").alias("node"), F.xxhash64("text").alias("h1")), "nodes")
+    buckets = dedup_stage.meeting_buckets(df, nodes, "doc_id", "text")
+    members = dedup_stage.staged(dedup_stage.candidate_groups(buckets), "groups")
+    groups = members.unionByName(members.select(F.col("component").alias("node"), "component").distinct()).join(nodes, "node")
+    assert max(r["count"] for r in groups.groupBy("component").count().collect()) > 1000
+    for block in (20, 100):
+        links = dedup_stage.verified_links(df, groups, "doc_id", "text", block=block, buckets=buckets)
+        got = {r.node: r.component for r in connected_components(links).collect()}
+        assert [got.get(i, i) for i in range(len(texts))] == want, block
+    parts = groups.select("component", "node").join(df.select(F.col("doc_id").alias("node"), "text"), "node")
+    sent = dedup_stage.remaining_pairs(parts, groups.select("component", "node"), buckets, 20).count()
+    assert sent < 12 * len(texts), sent / len(texts)  # all pairs of blocks would be 80 rows a text
+
+
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
@@ -526,6 +550,26 @@ def test_embeddings_with_many_leaves(spark):
     assert got[600:].sum() >= 0.9 * want[600:].sum(), (got[600:].sum(), want[600:].sum())
 
 
+def test_embeddings_of_other_dimensions(spark):
+    """Vectors of a dimension that is not the commonest have trees of their own: no leaf holds them all."""
+    rng = np.random.default_rng(6)
+    sides = {}
+    for dim, n, first in ((16, 900, 0), (24, 800, 10_000)):
+        x = rng.normal(size=(n, dim))
+        x[n // 2 :] = x[: n // 2] + rng.normal(0, 0.25, (n // 2, dim))
+        sides[first] = x.astype(np.float32)
+    df = vectors(spark, [(first + i, v.tolist(), 1) for first, x in sides.items() for i, v in enumerate(x)])
+    out = {r.id: r.n_links for r in embeddings.near_vectors(df, leaf=100, most=500).collect()}
+    for first, x in sides.items():
+        unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+        want = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+        got = np.array([out[first + i] for i in range(len(x))])
+        assert (got <= want).all() and got.sum() >= 0.9 * want.sum() > 100, (first, got.sum(), want.sum())
+    base = df.select(F.lit(1).cast("long").alias("grp"), F.col("vec_id").alias("node"), F.array(F.lit(0).cast("long")).alias("leaves"), F.col("embedding").alias("v")).where("node >= 10000")
+    grown = embeddings._grown(embeddings._rooted(base, 3, 100), 100)
+    assert max(r["count"] for r in grown.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().collect()) <= 100
+
+
 def labelled(spark, make, n=500):
     rng = random.Random(4)
     rows, labels = [], []
