@@ -1,4 +1,4 @@
-"""Licence scans: sparse TF-IDF cosine of header lines, header blocks and licence files to templates, then inheritance along paths."""
+"""Licence scans: sparse TF-IDF cosine of header lines, header blocks, comments and licence files to templates, then inheritance along paths."""
 
 from __future__ import annotations
 
@@ -13,7 +13,8 @@ from .shared import BROADCAST_ROWS, drop_staged, fresh, staged
 
 #: Least cosine. A word counts once in a unit, so that a unit of cosine t has t^2 / (1 - t^2) known words for each unknown one.
 THRESHOLD = 0.6
-#: Different words that a unit must share with its template: one or two ("mit", "all") are words of other languages and uses.
+#: Different words that a unit must share with its template, or all of a shorter one ("MIT License"): one or two others ("all
+#: rights", "mit") are words of other languages and uses.
 LEAST_WORDS = 3
 #: Wins only where a file has no unit of another licence: its words stand in the headers of open licences too.
 LAST = "Proprietary"
@@ -52,7 +53,7 @@ _APACHE = (
 )
 TEMPLATES = {
     "MIT": (
-        "Released under the MIT License.", "Licensed under the MIT License.", "The MIT License (MIT)", "SPDX-License-Identifier: MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy", _MIT_GRANT,
+        "MIT License", "Released under the MIT License.", "Licensed under the MIT License.", "The MIT License (MIT)", "SPDX-License-Identifier: MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy", _MIT_GRANT,
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.", f"{_MIT_GRANT} The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. {_WARRANTY}",
     ),
     "Apache-2.0": ("Licensed under the Apache License, Version 2.0.", "SPDX-License-Identifier: Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/", "TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION", _APACHE),
@@ -65,7 +66,7 @@ TEMPLATES = {
     "BSD-3-Clause": ("Licensed under the BSD 3-Clause License.", "SPDX-License-Identifier: BSD-3-Clause", "Redistribution and use in source and binary forms are permitted", _BSD_GRANT, _BSD_THREE, f"{_BSD_GRANT} {_BSD_TWO} {_BSD_THREE} {_BSD_WARRANTY}"),
     "BSD-2-Clause": ("Licensed under the BSD 2-Clause License.", "SPDX-License-Identifier: BSD-2-Clause", f"{_BSD_GRANT} {_BSD_TWO} {_BSD_WARRANTY}"),
     "ISC": (
-        "Licensed under the ISC License.", "SPDX-License-Identifier: ISC",
+        "ISC License", "Licensed under the ISC License.", "SPDX-License-Identifier: ISC",
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     ),
     "MPL-2.0": (
@@ -73,6 +74,7 @@ TEMPLATES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     ),
     "Zlib": (
+        "zlib License",
         "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. "
         "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
     ),
@@ -88,19 +90,25 @@ TEMPLATES = {
 }
 WORD = r"[a-z0-9]+"
 BLANK_LINES = r"\n[ \t\r\n]*\n"
+#: A line that is no comment: its first character isn't one of those that comments start with.
+NO_COMMENT = r"^[ \t]*[^ \t\n#/*;%-][^\n]*$"
 
 
-def template_weights() -> tuple[list[tuple[str, str, float]], dict[str, float], float]:
-    """(token, number and licence of a template, weight of unit length), inverse document frequencies over the templates, and
-    that of words in none of them."""
-    parts = [(name, sorted(set(re.findall(WORD, text.lower())))) for name, texts in TEMPLATES.items() for text in texts]
+def _template_words() -> list[tuple[str, list[str]]]:
+    return [(name, sorted(set(re.findall(WORD, text.lower())))) for name, texts in TEMPLATES.items() for text in texts]
+
+
+def template_weights() -> tuple[list[tuple[str, str, float, int]], dict[str, float], float]:
+    """(token, number and licence of a template, weight of unit length, words of it that a unit must hold), inverse document
+    frequencies over the templates, and that of words in none of them."""
+    parts = _template_words()
     n = len(parts)
     df = Counter(t for _, words in parts for t in words)
     idf = {t: log((1 + n) / (1 + c)) + 1 for t, c in df.items()}
     rows = []
     for i, (name, words) in enumerate(parts):
         norm = sqrt(sum(idf[t] ** 2 for t in words))
-        rows += [(t, f"{i:03d} {name}", idf[t] / norm) for t in words]
+        rows += [(t, f"{i:03d} {name}", idf[t] / norm, min(LEAST_WORDS, len(words))) for t in words]
     return rows, idf, log(1 + n) + 1
 
 
@@ -114,12 +122,12 @@ def unit_licences(spark: SparkSession, units: DataFrame, threshold: float = THRE
     Ties go to the template listed first. Templates are a constant of some hundred rows, so they are broadcast.
     """
     weights, idf, unknown = template_weights()
-    table = F.broadcast(spark.createDataFrame(weights, "token string, template string, w double"))
+    table = F.broadcast(spark.createDataFrame(weights, "token string, template string, w double, least int"))
     known = F.broadcast(spark.createDataFrame(sorted(idf.items()), "token string, idf double"))
     words = units.select("unit").distinct().select("unit", F.explode(_tokens(F.col("unit"))).alias("token"))
     parts = words.join(known, "token", "left").select("unit", "token", F.coalesce("idf", F.lit(unknown)).alias("x"))
     norms = parts.groupBy("unit").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    dots = parts.join(table, "token").groupBy("unit", "template").agg(F.sum(F.col("x") * F.col("w")).alias("dot"), F.count("*").alias("hits")).where(F.col("hits") >= LEAST_WORDS)
+    dots = parts.join(table, "token").groupBy("unit", "template", "least").agg(F.sum(F.col("x") * F.col("w")).alias("dot"), F.count("*").alias("hits")).where("hits >= least")
     scored = dots.join(norms, "unit").select("unit", "template", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= threshold)
     best = scored.groupBy("unit").agg(F.min(F.struct((-F.col("score")).alias("s"), "template")).alias("b"))
     return best.select("unit", F.substring("b.template", 5, 100).alias("licence"), (-F.col("b.s")).alias("score"))
@@ -128,8 +136,8 @@ def unit_licences(spark: SparkSession, units: DataFrame, threshold: float = THRE
 def scan_licences(files: DataFrame, path_col: str, text_col: str = "text", threshold: float = THRESHOLD, file_share: float = FILE_SHARE) -> DataFrame:
     """``files`` with licence, licence_score, licence_from: 'header' (own units), 'directory' (inherited) or null.
 
-    Units are all lines of the whole text and all blocks of lines between blank ones, so that a notice is found on one line
-    or wrapped. A unit goes on if so large a share of its words stands in some template that the cosine can reach the
+    Units are all lines of the whole text, all blocks of lines between blank ones and all runs of comment lines, so that a
+    notice is found on one line or wrapped, also right above code. A unit goes on if so large a share of its words stands in some template that the cosine can reach the
     threshold; no other unit could. The best unit of a text is its own licence, a reservation of all rights only if there
     is no other. A directory's licence is that of its licence files (the commonest; ties by name). A file without an own
     licence takes that of its nearest ancestor directory that has one, found by joining directories with their ancestors'
@@ -142,14 +150,23 @@ def scan_licences(files: DataFrame, path_col: str, text_col: str = "text", thres
     known = F.array(*[F.lit(t) for t in sorted(template_weights()[1])])
     ratio = threshold**2 / (1 - threshold**2)
 
-    def possible(unit):
-        words = _tokens(unit)
-        hits = F.size(F.array_intersect(words, known))
-        return (hits >= LEAST_WORDS) & (hits >= ratio * (F.size(words) - hits))
+    titles = [words for _, words in _template_words() if len(words) < LEAST_WORDS]
+
+    def possible(x):
+        hits, titled = F.size(x["held"]), F.lit(False)
+        for words in titles:
+            titled = titled | (F.size(F.array_intersect(x["held"], F.array(*[F.lit(t) for t in words]))) == len(words))
+        return (hits >= ratio * (x["n"] - hits)) & ((hits >= LEAST_WORDS) | ((hits >= min(map(len, titles), default=LEAST_WORDS)) & titled))
 
     lines = F.transform(F.split(text, "\n"), lambda x: F.struct(F.lit(0).alias("block"), F.trim(x).alias("unit")))
     blocks = F.transform(F.filter(F.split(text, BLANK_LINES), lambda x: x.contains("\n")), lambda x: F.struct(F.lit(1).alias("block"), F.trim(x).alias("unit")))
-    units = F.filter(F.array_distinct(F.concat(lines, blocks)), lambda x: possible(x["unit"]))
+    comments = F.split(F.regexp_replace(text, "(?md)" + NO_COMMENT, ""), BLANK_LINES)
+    comments = F.filter(F.transform(comments, lambda x: F.struct(F.lit(2).alias("block"), F.trim(x, F.lit(" \n")).alias("unit"))), lambda x: x["unit"].contains("\n"))
+    comments = F.when(text.rlike(r"(?:^|\n)[ \t]*[#/*;%-]"), comments).otherwise(F.slice(lines, 1, 0))
+    # each step is an array of its own, so that a unit is cut into words once
+    units = F.transform(F.array_distinct(F.concat(lines, blocks, comments)), lambda x: F.struct(x["block"].alias("block"), x["unit"].alias("unit"), _tokens(x["unit"]).alias("words")))
+    units = F.transform(units, lambda x: F.struct(x["block"].alias("block"), x["unit"].alias("unit"), F.size(x["words"]).alias("n"), F.filter(x["words"], lambda w: w.isin(*sorted(template_weights()[1]))).alias("held")))
+    units = F.transform(F.filter(units, possible), lambda x: F.struct(x["block"].alias("block"), x["unit"].alias("unit")))
     key = [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("file"), text).alias("h2")]
     seen = staged(files.select(path.alias("path"), *key, F.when(F.length(text) > 0, units).alias("units")), "licence-units")
     words = F.size(F.filter(F.regexp_extract_all(F.lower("unit"), F.lit(WORD), F.lit(0)), lambda x: F.array_contains(known, x)))
@@ -158,7 +175,7 @@ def scan_licences(files: DataFrame, path_col: str, text_col: str = "text", thres
     counted = each.join(best, "unit").withColumn("n", words)
     own = counted.groupBy("h1", "h2").agg(
         F.min(F.struct((F.col("licence") == LAST).alias("last"), (-F.col("score")).alias("s"), "licence")).alias("b"),
-        F.greatest(F.sum(F.when(F.col("block") == 0, F.col("n")).otherwise(0)), F.sum(F.when(F.col("block") == 1, F.col("n")).otherwise(0))).alias("held"),
+        F.greatest(*[F.sum(F.when(F.col("block") == kind, F.col("n")).otherwise(0)) for kind in range(3)]).alias("held"),
     )
     own = staged(own.select("h1", "h2", F.col("b.licence").alias("own"), (-F.col("b.s")).alias("score"), "held"), "licences")
     small = own.count() <= BROADCAST_ROWS
@@ -216,18 +233,19 @@ WITH files AS (
 texts AS (SELECT DISTINCT text FROM files WHERE text <> ''),
 units AS (
   SELECT DISTINCT text, 0 AS block, trim(unnest(string_split(text, chr(10))), ' ') AS unit FROM texts
-  UNION SELECT DISTINCT text, 1, trim(b, ' ') FROM (SELECT text, unnest(string_split_regex(text, '\\n[ \\t\\r\\n]*\\n')) AS b FROM texts) WHERE contains(b, chr(10))),
-weights(token, template, w) AS (VALUES {_values(weights, lambda t, n, w: f"({q(t)}, {q(n)}, {w!r}::DOUBLE)")}),
+  UNION SELECT DISTINCT text, 1, trim(b, ' ') FROM (SELECT text, unnest(string_split_regex(text, '\\n[ \\t\\r\\n]*\\n')) AS b FROM texts) WHERE contains(b, chr(10))
+  UNION SELECT DISTINCT text, 2, b FROM (SELECT text, trim(unnest(string_split_regex(regexp_replace(text, '(?m){NO_COMMENT}', '', 'g'), '\\n[ \\t\\r\\n]*\\n')), ' ' || chr(10)) AS b FROM texts) WHERE contains(b, chr(10))),
+weights(token, template, w, least) AS (VALUES {_values(weights, lambda t, n, w, k: f"({q(t)}, {q(n)}, {w!r}::DOUBLE, {k})")}),
 known(token, idf) AS (VALUES {_values(sorted(idf.items()), lambda t, v: f"({q(t)}, {v!r}::DOUBLE)")}),
 tokens AS (SELECT unit, unnest({words}) AS token FROM (SELECT DISTINCT unit FROM units)),
 parts AS (SELECT unit, t.token, coalesce(idf, {unknown!r}::DOUBLE) AS x FROM tokens t LEFT JOIN known ON t.token = known.token),
 norms AS (SELECT unit, sqrt(sum(x * x)) AS norm FROM parts GROUP BY unit),
-dots AS (SELECT unit, template, sum(x * w) AS dot FROM parts JOIN weights USING (token) GROUP BY ALL HAVING count(*) >= {LEAST_WORDS}),
+dots AS (SELECT unit, template, sum(x * w) AS dot FROM parts JOIN weights USING (token) GROUP BY unit, template, least HAVING count(*) >= least),
 scored AS (SELECT unit, template, round(dot / norm, 6) AS score FROM dots JOIN norms USING (unit) WHERE round(dot / norm, 6) >= {THRESHOLD}),
 best AS (SELECT unit, substr(template, 5) AS licence, score FROM (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY score DESC, template) AS r FROM scored) WHERE r = 1),
 counted AS (SELECT text, block, licence, score, len(list_filter(regexp_extract_all(lower(unit), '[a-z0-9]+'), lambda x: list_contains([{listed}], x))) AS n FROM units JOIN best USING (unit)),
 owned AS (
-  SELECT text, len(regexp_extract_all(lower(text), '[a-z0-9]+')) AS words, greatest(coalesce(sum(n) FILTER (block = 0), 0), coalesce(sum(n) FILTER (block = 1), 0)) AS held,
+  SELECT text, len(regexp_extract_all(lower(text), '[a-z0-9]+')) AS words, greatest(coalesce(sum(n) FILTER (block = 0), 0), coalesce(sum(n) FILTER (block = 1), 0), coalesce(sum(n) FILTER (block = 2), 0)) AS held,
     arg_min(licence, (licence = {q(LAST)}, -score, licence)) AS own, arg_min(score, (licence = {q(LAST)}, -score, licence)) AS score FROM counted GROUP BY text),
 holders AS (SELECT regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir, own, count(*) AS n FROM files JOIN owned USING (text) WHERE held >= words * {FILE_SHARE} GROUP BY ALL),
 lead AS (SELECT dir, arg_min(own, (-n, own)) AS licence FROM holders GROUP BY dir),

@@ -499,6 +499,21 @@ def test_licence_texts(spark):
     assert {p: n for p, n, _ in got} == {p: w for p, (_, w) in texts.items()}
 
 
+def test_licence_titles_and_comments(spark):
+    """Titles of two words, and notices wrapped over comment lines right above code."""
+    import textwrap
+
+    notice = textwrap.fill(licenses.TEMPLATES["GPL-3.0"][-1], 60, initial_indent="# ", subsequent_indent="# ")
+    code = "\n".join(f"value_{i} = compute(argument_{i}, other_{i})" for i in range(60))
+    long_run = "\n".join("# word" for _ in range(60_000))
+    texts = {
+        "a/LICENSE": ("MIT License\nCopyright (c) 2020 Somebody Else", "MIT"), "b/x.py": ("License: MIT", "MIT"), "c/x.py": ("ISC License\n\ncode", "ISC"), "d/x.py": ("all rights\nmit\nthe license\nto the public", None),
+        "e/x.py": (f"{notice}\n{code}", "GPL-3.0"), "f/x.py": (f"{code}\n{notice}\n{code}", "GPL-3.0"), "g/x.py": (long_run, None), "h/x.py": (f"- one\n- two\n{code}", None),
+    }
+    got = licences_of(spark, [(p, t) for p, (t, _) in texts.items()])
+    assert {p: n for p, n, _ in got} == {p: w for p, (_, w) in texts.items()}
+
+
 def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
 
