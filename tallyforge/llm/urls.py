@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import string
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -18,8 +19,9 @@ POLICY = ("allow com/", "block example.com/en/", "allow www.example.com/en/", "b
 MIN_SUPPORT, MIN_CONFIDENCE = 0.01, 0.6
 #: Labelled rows below which a combination proves nothing, however few there are in all.
 MIN_ROWS = 10
-#: Tokens of a labelled row that are combined, the most telling ones first. FP-growth has no bound on the length of its
-#: combinations; this is one, so a row gives at most 2 ** MOST_TOKENS of them. Matching reads all tokens.
+#: Place in a labelled row, the most telling token first, up to which FP-growth combines tokens. It has no bound on the
+#: length of its combinations, so such a row gives at most 2 ** MOST_TOKENS of them; combinations with a token that stands
+#: further back in any row are grown by ``_beyond``, so all are mined. (The SQL statement enumerates, and stops at this place.)
 MOST_TOKENS = 12
 #: Tokens longer than this stand as their hash.
 TOKEN_CHARS = 64
@@ -117,8 +119,46 @@ def _vocabulary(labelled: DataFrame, n: int, blocked: int, min_support: float) -
     return [r.token for r in one.orderBy(far.desc(), "token").select("token").collect()]
 
 
+def _beyond(rows: DataFrame, far: list[str], least: int) -> DataFrame:
+    """(tokens, block, allow, can_block, can_allow): the combinations with a token of ``far`` that a rule may be made of, and
+    their rows by label, from ``rows`` (told, block, allow; ``told`` in one order of all tokens, which ``far`` are apart in).
+
+    A combination grows from its last token in that order towards the first. Rules are kept for a label only if no part is
+    as sure of it, so each token must take rows of the other label away from what the rest of the combination holds; and
+    what fails this, or has fewer than ``least`` rows of the label, fails in every longer combination too. So tokens that go
+    together, of which a row of thirty has 2 ** 30 combinations, end at a few of them, and nothing that could be kept is lost.
+    """
+    labels = (("block", "allow"), ("allow", "block"))
+    sums = [F.sum(c).alias(c) for c in LABELS]
+    far_too = lambda token: F.array_contains(F.array(*map(F.lit, far)), token)
+    level = rows.select(F.explode("told").alias("token"), *LABELS).groupBy(F.array("token").alias("tokens")).agg(*sums)
+    level = staged(level.withColumns({f"can_{v}": F.col(v) >= least for v in LABELS}), "url-level")
+    found = level.where(far_too(F.col("tokens")[0]))
+    held = rows.select(F.posexplode("told").alias("i", "token"), "told", *LABELS).where(far_too(F.col("token")))
+    held = staged(held.select(F.array("token").alias("tokens"), F.slice("told", F.lit(1), F.col("i")).alias("before"), *LABELS), "url-held")
+    while True:
+        longer = held.select("tokens", "before", *LABELS, F.posexplode("before").alias("i", "token"))
+        longer = longer.select(F.array_append("tokens", F.col("token")).alias("tokens"), F.slice("before", F.lit(1), F.col("i")).alias("before"), *LABELS)
+        counts = longer.groupBy("tokens").agg(*sums).where(F.greatest(*LABELS) >= least)
+        parts = F.transform("tokens", lambda t: F.array_remove("tokens", t))
+        parts = F.filter(parts, lambda p: (F.size(p) == 1) | far_too(p[0]))  # (others are not in ``level``)
+        of_part = level.select(F.col("tokens").alias("part"), F.struct(*LABELS, "can_block", "can_allow").alias("p"))
+        fits = {v: F.bool_and((F.col(v) >= least) & F.coalesce(F.col("p")[f"can_{v}"] & (F.col(w) < F.col("p")[w]), F.lit(False))).alias(f"can_{v}") for v, w in labels}
+        tested = counts.withColumn("part", F.explode(parts)).join(of_part, "part", "left").groupBy("tokens", *LABELS).agg(*fits.values())
+        level = staged(tested.where("can_block or can_allow"), "url-level")
+        found = found.unionByName(level)
+        grows = for_join(level.where("(can_block and allow > 0) or (can_allow and block > 0)").select("tokens"), "url-grows")
+        further = longer.where(F.size("before") > 0).join(grows, "tokens").groupBy("tokens", "before").agg(*sums)
+        further = staged(further, "url-held")
+        drop_staged(held)
+        held = further
+        if held.isEmpty():
+            return found
+
+
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> Rules:
-    """Association rules from labelled URLs (url, label: "allow" or "block") by FP-growth over all of them.
+    """Association rules from labelled URLs (url, label: "allow" or "block") by FP-growth over all of them, and for
+    combinations with tokens far back in a long row by ``_beyond``: none is left out for its length or its row's.
 
     A rule says that rows with a combination of tokens have a label. It is kept with ``min_support`` of all rows (``MIN_ROWS``
     at least) and ``min_confidence`` of those with the combination, if no part of its combination says the same with as much confidence.
@@ -138,10 +178,20 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     words = _vocabulary(known, n, blocked, min_support)
     if not words or min_support > 1:
         return Rules(empty, [], otherwise)
-    told = F.slice(F.array_intersect(F.array(*map(F.lit, words)), F.col("tokens")), 1, MOST_TOKENS)
-    baskets = known.select(F.array_append(told, F.concat(F.lit("= "), "label")).alias("items"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("i")).select("items")
+    told = F.array_intersect(F.array(*map(F.lit, words)), F.col("tokens"))
+    behind = known.select(F.explode(F.slice(told, MOST_TOKENS + 1, len(words))).alias("token")).distinct()
+    behind = {r.token for r in behind.collect()}  # some of ``words``; the others stand within MOST_TOKENS places of every row
+    near, far = [w for w in words if w not in behind], [w for w in words if w in behind]
+    baskets = known.select(F.array_append(F.filter(told, lambda t: t.isin(near)) if far else told, F.concat(F.lit("= "), "label")).alias("items"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("i")).select("items")
     found = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets).associationRules
     rules = found.where(F.startswith(F.col("consequent")[0], F.lit("= "))).select(F.array_sort("antecedent").alias("tokens"), F.substring(F.col("consequent")[0], 3, 9).alias("verdict"), "confidence", "support")
+    if far:
+        by_label = [F.sum(F.when(F.col("label") == v, F.col("n")).otherwise(0)).alias(v) for v in LABELS]
+        rows = staged(known.groupBy(told.alias("told")).agg(*by_label), "url-rows")
+        grown = _beyond(rows, far, math.ceil(min_support * n))
+        for v in LABELS:
+            sure = (F.col(v) / (F.col("block") + F.col("allow"))).alias("confidence")
+            rules = rules.unionByName(grown.where(f"can_{v}").select(F.array_sort("tokens").alias("tokens"), F.lit(v).alias("verdict"), sure, (F.col(v) / n).alias("support")).where(F.col("confidence") >= min_confidence))
     rules = rules.withColumn("rule_id", F.xxhash64("tokens", "verdict"))
     rank = F.map_from_arrays(F.array(*map(F.lit, words)), F.array(*map(F.lit, range(len(words)))))
     rules = staged(rules.withColumn("first", F.array_min(F.transform("tokens", lambda t: F.struct(rank[t].alias("rank"), t.alias("token"))))["token"]), "url-rules")

@@ -224,6 +224,38 @@ def test_tokens_on_the_same_rows_are_one(spark):
     assert urls.by_rules(spark.createDataFrame([(hot,)], "url string"), mined, "url", "v").first().v == "block"
 
 
+def test_rules_with_tokens_far_back_in_long_rows(spark):
+    """Rows of up to 15 tokens that no two of which go together: every combination is mined, whatever its tokens' places."""
+    rng = random.Random(11)
+    rows = []
+    for _ in range(150):
+        ks = [k for k in range(15) if rng.random() < 0.85]
+        bad = {1, 4, 8} <= set(ks) or not {2, 3} & set(ks)
+        rows.append(("?" + "&".join(f"k{k:02d}" for k in ks), "block" if bad != (rng.random() < 0.1) else "allow"))
+    tokens = [{f"query {x}" for x in u[1:].split("&") if x} for u, _ in rows]
+    assert sum(len(t) > urls.MOST_TOKENS for t in tokens) > 50
+    want = rules_by_hand([(t, label) for t, (_, label) in zip(tokens, rows)], 10, 0.6)
+    mined = urls.mine(spark.createDataFrame(rows, "url string, label string").repartition(3))
+    got = {(tuple(r.tokens), r.verdict): (r.confidence, r.support) for r in mined.table.collect()}
+    assert got.keys() == want.keys() and all(abs(got[k][0] - p) < 1e-9 for k, p in want.items())
+    held = {c: sum(set(c[0]) <= t and label == c[1] for t, (_, label) in zip(tokens, rows)) for c in got}
+    assert all(abs(got[c][1] - n / len(rows)) < 1e-9 for c, n in held.items())
+    assert len({t for c, _ in got for t in c}) == 15
+
+
+def test_tokens_of_a_long_row_that_stand_elsewhere_too(spark):
+    """A row of thirty tokens, each of which has other rows of its own: 2 ** 30 combinations, of which the pairs say it all."""
+    hot = "?" + "&".join(f"k{k:02d}" for k in range(30))
+    rows = [(hot, "block")] * 200 + [(f"?k{k:02d}&z{i}", "allow") for k in range(30) for i in range(12 + k)]
+    mined = urls.mine(spark.createDataFrame(rows, "url string, label string"))
+    got = {tuple(r.tokens): (r.verdict, round(r.confidence, 9)) for r in mined.table.collect()}
+    names = [f"query k{k:02d}" for k in range(30)]
+    want = {(a,): ("block", round(200 / (212 + k), 9)) for k, a in enumerate(names)} | {(a, b): ("block", 1.0) for i, a in enumerate(names) for b in names[i + 1 :]}
+    assert {c: v for c, v in got.items() if all(t in names for t in c)} == want
+    out = urls.by_rules(spark.createDataFrame([(f"?k28&k29",), ("?k29",), ("?zz",)], "url string"), mined, "url", "v").collect()
+    assert [r.v for r in out] == ["block", "block", "allow"]
+
+
 def test_url_odd_tables(spark):
     pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(URLS)] + [(None, "http://a.org/", "h"), (3, URLS[3], "h")], "page_id long, url string, verdict string")
     labels = spark.createDataFrame([(11, "block"), (11, "allow"), (None, "block"), (0, None), (6, "junk")], "id long, label string")
