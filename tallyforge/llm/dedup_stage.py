@@ -299,13 +299,14 @@ def verified_links(docs: DataFrame, groups: DataFrame, id_col: str, text_col: st
     return links if direct is None else links.unionByName(direct)
 
 
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, links: DataFrame | None = None) -> DataFrame:
     """``docs`` without near-duplicates: of each group of texts linked at ``similarity`` or more (Jaccard of five-word
     shingles, lower-cased) the row with the smallest id stays.
 
     Candidates come from an exact prefix filter, so no link is missed, and
     every link is then verified exactly. Copies are folded by content first. Null texts count as empty, and empty texts are
     copies of each other; rows with a null id stay; of rows equal in id and text one stays. All columns are kept.
+    ``links`` (src, dst) are further links between ids, found by another method; groups are made of both.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     hashes = _rows(docs, id_col, text_col).select(F.col("node").alias("id"), "h1", F.xxhash64(F.lit("text"), "text").alias("h2"))
@@ -315,7 +316,8 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     groups = candidate_groups(buckets)
     roots = groups.select("component").distinct().select(F.col("component").alias("node"), "component")
     groups = staged(groups.unionByName(roots).join(nodes.select("node", "h1"), "node"), "candidates")
-    final = connected_components(verified_links(docs, groups, id_col, text_col, similarity, buckets=buckets))
+    found = verified_links(docs, groups, id_col, text_col, similarity, buckets=buckets)
+    final = connected_components(found if links is None else found.unionByName(links))
     drop_staged(buckets)
     stays = nodes.join(final, "node", "left_anti").select(F.col("node").alias("id"), "h1")
     gone = for_join(contents.select("id", "h1").join(stays, ["id", "h1"], "left_anti").distinct(), "gone")

@@ -691,6 +691,30 @@ def test_pipeline(spark, tmp_path):
     assert all(abs(t - g) <= m for t, g, m in sizes.values())
 
 
+def test_pipeline_links_by_simhash_and_by_jaccard(spark):
+    """Texts made of one repeated sentence have one fingerprint and few common shingles; the same sentences once, or with a
+    block more, are the other way round; groups run through both kinds of links."""
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    texts = []
+    for _ in range(4):
+        often, tail = prose(rng, 13), prose(rng, 150)
+        texts += [" ".join([often] * 40 + [prose(rng, 25)]) for _ in range(2)]
+        texts += [" ".join([often] * 40 + [tail]), f"{often} {tail}", f"{often} {tail} {prose(rng, 25)}", prose(rng, 80)]
+    words = [t.split() for t in texts]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in words]
+    fps = [simhash.simhash(t.encode(), 3, 42) for t in texts]
+    pairs = [(a, b) for a in range(len(texts)) for b in range(a)]
+    by_bits = [(a, b) for a, b in pairs if (fps[a] ^ fps[b]).bit_count() <= 3]
+    by_sets = [(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    want = union(len(texts), by_bits + by_sets)
+    assert set(by_bits) - set(by_sets) and len(set(want)) < min(len(set(union(len(texts), x))) for x in (by_bits, by_sets))
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)] + [(None, texts[0], "en", "s", 1)], DOCS)
+    kept = corpus_pipeline.near_duplicates(spark, df, "")
+    assert Counter(r.doc_id for r in kept.collect()) == Counter([*set(want), None])
+
+
 def test_pipeline_on_odd_rows(spark, docs, tmp_path):
     """Null, empty, repeated and very long rows, an empty table, and columns with the stages' own words for names."""
     import corpus_pipeline
