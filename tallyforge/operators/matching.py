@@ -9,29 +9,52 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.text import compact_key, has_word, or_null, strip
+from ..materialize import written
 from . import substrings
 
 #: Rule tables up to this many rows are broadcast; of larger ones, candidates are found by their character runs.
 BROADCAST_RULES = 10_000
 
+#: Of more rules, so many of the lowest prio are looked up before the others.
+FIRST_RULES = 10_000
+
 #: Pairs (text columns, pattern): what a condition says of a key implies that one of the patterns is inside one of its texts.
 Within = list[tuple[list[str], Column]]
 
 
-def _pairs(keys: DataFrame, rules: DataFrame, matches: Callable[[], Column], within: Within | None, how: str, most: int | None) -> DataFrame:
-    """Keys joined to the rules that match. Few rules meet every key; many are looked up, if ``within`` tells how."""
+def _won(keys: DataFrame, rules: DataFrame, matches: Callable[[], Column], outputs: list[str], prio: str, within: Within | None, most: int | None, reads: list[str] | None) -> DataFrame:
+    """(keys..., _won): the first rule of each distinct key that one matches. Few rules meet every key; many are looked up, if
+    ``within`` tells how."""
     most = BROADCAST_RULES if most is None else most
+    first = F.min(F.struct(prio, *outputs)).alias("_won")
     if rules.limit(most + 1).count() <= most:
-        return keys.join(F.broadcast(rules), matches(), how)
+        return keys.join(F.broadcast(rules), matches()).groupBy(*keys.columns).agg(first)
     if within is None:
-        return keys.join(rules, matches(), how)
-    found = substrings.candidates(keys, rules, within).where(matches())
-    if how == "left":  # keys without a rule come too; a minimum over them and the others passes over their nulls
-        return found.unionByName(keys, allowMissingColumns=True)
-    return found
+        return keys.join(rules, matches()).groupBy(*keys.columns).agg(first)
+    if reads is not None:
+        folded = rules.groupBy(*reads).agg(first)
+        rules = folded.select(*[c for c in reads if c not in (prio, *outputs)], "_won.*")
+    look_up = lambda keys, rules: substrings.candidates(keys, rules, within).where(matches()).groupBy(*keys.columns).agg(first)
+    rules = written(rules, "rules")
+    cut = rules.select(prio).orderBy(prio).offset(FIRST_RULES).limit(1).collect()
+    if not cut or cut[0][0] is None:
+        return look_up(keys, rules)
+    early = F.col(prio).isNull() | (F.col(prio) < F.lit(cut[0][0]))
+    keys = written(keys, "distinct-keys")
+    done = written(look_up(keys, rules.where(early)), "first-won")
+    held = done.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys.columns)])
+    left = written(keys.join(held, _same(keys, held, keys.columns), "left_anti"), "keys-left")
+    return done.unionByName(look_up(left, rules.where(~early))) if left.limit(1).count() else done
+
+
+def _same(df: DataFrame, side: DataFrame, keys: list[str]) -> Column:
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & df[k].eqNullSafe(side[f"_k{i}"])
+    return same
 
 
-def first_match_join(df: DataFrame, keys: list[str], rules: DataFrame, matches: Callable[[], Column], outputs: list[str], prio: str = "prio", within: Within | None = None, most: int | None = None) -> DataFrame:
+def first_match_join(df: DataFrame, keys: list[str], rules: DataFrame, matches: Callable[[], Column], outputs: list[str], prio: str = "prio", within: Within | None = None, most: int | None = None, reads: list[str] | None = None) -> DataFrame:
     """``df`` with the outputs of the first rule (lowest prio) that matches, null where none does.
 
     ``matches`` is a condition over the key columns and the rule columns. Only distinct keys meet the rules, one aggregate
@@ -39,23 +62,27 @@ def first_match_join(df: DataFrame, keys: list[str], rules: DataFrame, matches:
     one wins. Rule columns must not be named like the keys. Null keys match what the condition says for null.
 
     More than ``most`` rules (``BROADCAST_RULES``) are not compared with every key: with ``within`` they are found through an
-    index of character runs (see ``substrings.candidates``) and then held against the condition.
+    index of character runs (see ``substrings.candidates``) and then held against the condition. The ``FIRST_RULES`` of the
+    lowest prio are looked up before the others, which then meet only keys that none of them matches. ``reads`` names the
+    rule columns that the condition reads: of rules equal in them only the first is looked up.
     """
-    distinct = df.select(*keys).distinct()
-    found = F.min(F.struct(prio, *outputs)).alias("_won")
-    won = _pairs(distinct, rules, matches, within, "inner", most).groupBy(*keys).agg(found)
+    won = _won(df.select(*keys).distinct(), rules, matches, outputs, prio, within, most, reads)
     side = won.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[F.col(f"_won.{o}").alias(o) for o in outputs])
-    same = F.lit(True)
-    for i, k in enumerate(keys):
-        same = same & df[k].eqNullSafe(side[f"_k{i}"])
-    return df.join(side, same, "left").drop(*[f"_k{i}" for i in range(len(keys))])
+    return df.join(side, _same(df, side, keys), "left").drop(*[f"_k{i}" for i in range(len(keys))])
 
 
 def first_match_on_keys(keys: DataFrame, rules: DataFrame, matches: Callable[[], Column], outputs: list[str], prio: str = "prio", within: Within | None = None, most: int | None = None) -> DataFrame:
     """J12 for a table of distinct keys: it meets the rules as it is, so a chain of lookups stays one linear plan."""
+    few = BROADCAST_RULES if most is None else most
     found = F.min(F.when(F.col(prio).isNotNull(), F.struct(prio, *outputs))).alias("_won")
-    won = _pairs(keys, rules, matches, within, "left", most).groupBy(*keys.columns).agg(found)
-    return won.select(*keys.columns, *[F.col(f"_won.{o}").alias(o) for o in outputs])
+    small = rules.limit(few + 1).count() <= few
+    if small or within is None:
+        looked_up = keys.join(F.broadcast(rules) if small else rules, matches(), "left")
+        return looked_up.groupBy(*keys.columns).agg(found).select(*keys.columns, *[F.col(f"_won.{o}").alias(o) for o in outputs])
+    keys = written(keys, "distinct-keys")
+    won = _won(keys, rules.where(F.col(prio).isNotNull()), matches, outputs, prio, within, few, None)
+    every = won.unionByName(keys, allowMissingColumns=True).groupBy(*keys.columns).agg(F.min("_won").alias("_won"))  # (a minimum passes over nulls)
+    return every.select(*keys.columns, *[F.col(f"_won.{o}").alias(o) for o in outputs])
 
 
 Lookup = Callable[..., DataFrame]

@@ -442,7 +442,7 @@ def rule_index(spark, sf_dir):
     """A rule for each order, found inside texts of parts by an index of character runs: no text meets every rule"""
     k = table(spark, sf_dir, "part").select("p_partkey", F.expr(_TOLD.replace("VARCHAR(20)", "STRING").replace("VARCHAR(9)", "STRING")).alias("told"))
     r = spark.sql(_PATTERNS.replace("VARCHAR(20)", "STRING").replace("VARCHAR(9)", "STRING"), orders=table(spark, sf_dir, "orders"))
-    return matching.first_match_join(k, ["told"], r, lambda: F.col("told").contains(F.col("pattern")), ["named"], within=[(["told"], F.col("pattern"))], most=0)
+    return matching.first_match_join(k, ["told"], r, lambda: F.col("told").contains(F.col("pattern")), ["named"], within=[(["told"], F.col("pattern"))], most=0, reads=["pattern"])
 
 
 _CHANGED = """CASE WHEN id % 1000 = 7 THEN NULL WHEN id % 10 = 3 AND round_ >= 2 THEN concat('again ', CAST(id AS VARCHAR(20))) WHEN id % 5 = 3 THEN concat('edit ', CAST(id AS VARCHAR(20))) ELSE model END"""

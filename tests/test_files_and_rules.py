@@ -127,6 +127,46 @@ def test_rules_by_index_equal_the_loop(spark):
     assert substrings.candidates(df.limit(0), table, inside).count() == 0
 
 
+def joined_rows(df):
+    """The rows that the largest join of a plan made."""
+    df.collect()
+
+    def walk(p):
+        while (name := p.nodeName()) == "AdaptiveSparkPlan" or "QueryStage" in name:
+            p = p.plan() if "QueryStage" in name else p.executedPlan()
+        made = [p.metrics().get("numOutputRows").get().value()] if "Join" in p.nodeName() else []
+        return made + [n for i in range(p.children().size()) for n in walk(p.children().apply(i))]
+
+    return max(walk(df._jdf.queryExecution().executedPlan()))
+
+
+def test_numbers_in_texts_meet_the_rules_inside_them_alone(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("0123456789") for _ in range(12)) for _ in range(300)]
+    pats = {"".join(rng.choice("0123456789") for _ in range(6)) for _ in range(20_000)}  # a run of three digits stands in eighty of them
+    keys, table = spark.createDataFrame([(t,) for t in texts], "t string"), spark.createDataFrame([(p,) for p in pats], "p string")
+    met = substrings.candidates(keys, table, [(["t"], F.col("p"))])
+    assert sorted((r.t, r.p) for r in met.distinct().collect()) == sorted((t, p) for t in texts for p in {t[i : i + 6] for i in range(7)} & pats)
+    assert joined_rows(met) < 10_000
+
+
+def test_rules_in_two_rounds_equal_the_loop(spark, monkeypatch):
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choice("ab车😀") for _ in range(n))
+    texts = [f"https://host/{word(rng.randrange(20))}" for _ in range(60)] + [None, "", "none of them"]
+    pats = [t[at : at + rng.randrange(3, 22)] for t in texts[:30] for at in (9, 12, 15) if len(t) > at + 6] + [t for t in texts[:9]] + [f"https://host/{word(9)}" for _ in range(40)] + ["a 车 that no text holds", None, None]
+    rng.shuffle(pats)
+    table = spark.createDataFrame([(i // 2 if i else None, p, f"rule {i}") for i, p in enumerate(pats * 2)], "prio int, p string, named string")
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(3)
+    run = lambda **more: {r.i: r.named for r in matching.first_match_join(df, ["t"], table, lambda: F.col("t").contains(F.col("p")), ["named"], within=[(["t"], F.col("p"))], **more).select("i", "named").collect()}
+    want = run()
+    assert len({v for v in want.values()}) > 5 and None in want.values()
+    monkeypatch.setattr(matching, "FIRST_RULES", 7)
+    assert run(most=0) == want
+    monkeypatch.setattr(substrings, "SMALL", 0)
+    assert run(most=0, reads=["p"]) == want
+
+
 def test_lookups_agree_beyond_a_broadcast(spark, monkeypatch):
     listed = [("比亚迪海豚", "dolphin 420km"), ("BYD", "Seagull 430"), ("五菱", "LZW6470X"), ("Geely Auto", "Galaxy E5"), ("问界", "M9"), ("nope", "x"), (None, None), ("零跑", "T03 ev"), ("吉利银河", "a7")]
     df = spark.createDataFrame(listed, "b string, m string")
