@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import tempfile
 from itertools import islice
 
 import pyarrow as pa
@@ -14,7 +15,9 @@ from .workbooks import workbook_cells
 
 CELLS = "path string, content_hash string, sheet string, sheet_no int, row_no int, col_no int, value string, kind string, merged boolean, error string"
 #: Cells that are handed to Arrow at once.
-CHUNK = 50_000
+CHUNK = 20_000
+#: Bytes of a file's cells, compressed, that are held in memory until its end is read; more go to a scratch file.
+HELD = 1 << 23
 
 
 def discover(spark: SparkSession, root: str, suffixes: tuple[str, ...] = ("xlsx", "xls", "csv")) -> DataFrame:
@@ -49,26 +52,34 @@ def read_cells(files: DataFrame) -> DataFrame:
 
     Kinds: 's' text, 'n' number, 'd' date and time (ISO), 't' time or duration, 'b' boolean. CSV is UTF-8, undecodable bytes
     dropped, one sheet named Sheet1. Old binary workbooks are not decodable. Files are independent, so decoding is spread over
-    tasks; one file's cells stay in one task, as columns, until its end is read.
+    tasks; one file's cells stay in one task, compressed and beyond ``HELD`` bytes in a scratch file, until its end is read.
     """
 
-    def table(rows, path, digest) -> pa.RecordBatch:
-        sheet, sheet_no, row_no, col_no, value, kind, merged = zip(*rows)
-        n = len(rows)
-        columns = [[path] * n, [digest] * n, sheet, sheet_no, row_no, col_no, value, kind, merged, [None] * n]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+    def table(rows) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types[2:-1])], names[2:-1])
+
+    def whole(path, digest, held) -> pa.RecordBatch:
+        n = held.num_rows
+        same = [pa.repeat(pa.scalar(x, pa.string()), n) for x in (path, digest, None)]
+        return pa.RecordBatch.from_arrays([*same[:2], *held.columns, same[2]], names)
 
     def run(batches):
+        kinds = pa.schema(list(zip(names[2:-1], types[2:-1])))
+        packed = pa.ipc.IpcWriteOptions(compression="lz4")
         for batch in batches:
             for path, digest, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                try:
-                    cells = (_csv_cells if path.lower().endswith(".csv") else workbook_cells)(data.as_py())
-                    done = []
-                    while chunk := list(islice(cells, CHUNK)):
-                        done.append(table(chunk, path, digest))
-                    yield from done
-                except Exception as e:  # any damage in a file is that file's error
-                    yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip([path, digest, *[None] * 7, f"{type(e).__name__}: {e}"], types)], names)
+                with tempfile.SpooledTemporaryFile(HELD) as done:
+                    try:
+                        cells = (_csv_cells if path.lower().endswith(".csv") else workbook_cells)(data.as_py())
+                        with pa.ipc.new_stream(done, kinds, options=packed) as out:
+                            while chunk := list(islice(cells, CHUNK)):
+                                out.write_batch(table(chunk))
+                    except Exception as e:  # any damage in a file is that file's error
+                        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip([path, digest, *[None] * 7, f"{type(e).__name__}: {e}"], types)], names)
+                    else:
+                        done.seek(0)
+                        for held in pa.ipc.open_stream(done):
+                            yield whole(path, digest, held)
 
     names = [c.split()[0] for c in CELLS.split(", ")]
     types = [{"string": pa.string(), "int": pa.int32(), "boolean": pa.bool_()}[c.split()[1]] for c in CELLS.split(", ")]

@@ -2,11 +2,13 @@
 
 import random
 import re
+import tracemalloc
 import zipfile
 from collections import Counter
 from datetime import date, datetime, timedelta
 from io import BytesIO
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,6 +81,41 @@ def test_round_trip_and_damage(spark):
     assert [r.d for r in days] == [date(1999, 12, 31).isoformat()]
 
 
+def test_workbooks_pass_by_without_being_held():
+    data = (b"a,b,c,d\n" * 100_000)
+    frame = type("Frame", (), {"select": lambda self, *a: self, "mapInArrow": lambda self, f, schema: f})()
+    batch = pa.RecordBatch.from_pydict({"path": ["x.csv"], "content_hash": ["h" * 64], "content": [data]})
+    before, most, n = pa.total_allocated_bytes(), 0, 0
+    for cells in files.read_cells(frame)(iter([batch])):
+        most, n = max(most, pa.total_allocated_bytes() - before), n + cells.num_rows
+    assert n == 400_000 and most < 15_000_000  # all the columns take 50 MB
+    tracemalloc.start()
+    made = workbooks._Book({"s": ["A1:B1"]})
+    for r in range(1, 20_001):
+        for c in (1, 2, 3):
+            made.add("s", 1, r, c, f"text {r % 1000} {c}", "i")
+    content = made.close()
+    assert tracemalloc.get_traced_memory()[1] < 3_000_000 + 3 * len(content)
+    tracemalloc.clear_traces()
+    assert sum(1 for _ in workbooks.workbook_cells(content)) == 60_000
+    assert tracemalloc.get_traced_memory()[1] < 3_000_000
+    tracemalloc.stop()
+
+
+def test_sheets_in_any_order_and_texts_beyond_the_shared_ones(spark, monkeypatch):
+    cells = [("p", "z", 1, 3, 1, "later", "s"), ("p", "a", 2, 1, 2, "x", "s"), ("p", "z", 3, 2, 1, "2", "n"), ("p", "a", 2, 1, 1, None, "s"), ("q", "m", 1, 1, 1, "True", "b"), ("p", "z", 1, 2, 2, "b", "s"), ("q", "m", 1, 1, 3, "x", None)]
+    merges = [("p", "a", 1, 1, 2, 3), ("p", "none", 1, 1, 1, 2)]
+    made = workbooks.to_workbooks(spark.createDataFrame(cells, "path string, sheet string, sheet_no int, row_no int, col_no int, value string, kind string"), spark.createDataFrame(merges, "path string, sheet string, min_row int, max_row int, min_col int, max_col int"))
+    read = {r.path: list(workbooks.workbook_cells(bytes(r.content))) for r in made.collect()}
+    assert read == {"p": [("z", 1, 1, 1, "2", "n", False), ("z", 1, 1, 2, "b", "s", False), ("z", 1, 2, 1, "later", "s", False), ("a", 2, 1, 2, "x", "s", True), ("a", 2, 1, 3, "x", "s", True)], "q": [("m", 1, 1, 1, "True", "b", False), ("m", 1, 1, 3, "x", "s", False)]}
+    monkeypatch.setattr(workbooks, "MOST_SHARED", 5)
+    few = workbooks._Book({})
+    texts = ["abc", "", "defg <", "abc", " z "]
+    for c, t in enumerate(texts, 1):
+        few.add("s", 1, 1, c, t, "s")
+    assert [x[4:6] for x in workbooks.workbook_cells(few.close())] == [(t, "s") for t in texts] and list(few.shared) == ["abc", ""]
+
+
 def test_csv_by_lines_equals_whole_files(spark, tmp_path):
     rng = random.Random(1)
     simple, tricky = ["a", "", "车型", '"q"', '"a,b"', '"x ""y"" z"', '""', " lead", '"",""', "é"], ['"open\nline"', 'a"b', '"a"b', 'a "b"', '"\r\n"']
