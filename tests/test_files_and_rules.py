@@ -229,6 +229,21 @@ def test_learned_headers_win_at_any_place(spark):
         assert matching.map_headers(df, "h", rules.header_rules(spark, learned)).first().field == "notes" != built_in
 
 
+def test_first_places_are_found_without_sorting_the_table(spark, tmp_path):
+    rows = [(k, o) for k, o in zip("abcdefgh", [(5, 1), (5, -1), (None, 2), (-(2**63), None), (2**63 - 1, 2**31 - 1), (-(2**63), -(2**31)), None, (5, None)])]
+    seen = spark.createDataFrame([(k, o) for k, o in rows] + [("a", (2**63 - 1, 7)), ("h", (5, 0))], "k string, o struct<x: long, y: int>")
+    none = spark.createDataFrame([], "k string, number long")
+    first = durable_ids.unknown_keys(none, seen, ["k"], "o")
+    assert "SortAggregate" not in first._jdf.queryExecution().executedPlan().toString()
+    by_struct = [r.k for r in seen.groupBy("k").agg(F.min("o").alias("o")).orderBy("o", "k").collect()]
+    assert [r.k for r in first.orderBy("_first", "k").collect()] == by_struct == list("gcdfhbae")
+    assert [r.k for r in durable_ids.new_numbers(none, seen, ["k"], "o").orderBy("number").collect()] == by_struct
+    store = jobs.Store(spark, str(tmp_path))
+    for _ in range(2):
+        got = jobs.register(store, "variant_ids", "k string, number long", seen, "o")
+    assert sorted((r.number, r.k) for r in got.collect()) == list(enumerate(by_struct, 1)) and [k for _, k in store._parts("variant_ids")] == [0, 1]
+
+
 def test_numbers_go_on(spark):
     known = spark.createDataFrame([("x", "a", 7), ("y", "c", 2)], "m string, v string, number long")
     seen = spark.createDataFrame([("x", "b", 5), ("x", "a", 0), ("y", "d", 9), ("y", "e", 1), ("z", "f", 3), (None, "g", 0), ("y", "d", 0)], "m string, v string, o int")
